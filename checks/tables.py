@@ -11,6 +11,7 @@ from tradeweir.operators.quality import classify
 from tradeweir.operators.silver import build_silver
 from tradeweir.session import require_runtime, scratch_folder
 from tradeweir.sources.feed import bulk_feed, raw_feed
+from tradeweir.sources.kafka import file_batch
 
 FEEDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events": raw_feed,
@@ -24,6 +25,12 @@ def records(spark: SparkSession, sf_dir: str, feed: str = "events") -> DataFrame
     return FEEDS[feed](require_runtime(spark), sf_dir)
 
 
+def stored_records(spark: SparkSession, sf_dir: str, feed: str = "events") -> DataFrame:
+    """Raw Kafka records of a feed as an archive on disk."""
+    path = _stored(spark, ("records", sf_dir, feed), lambda: records(spark, sf_dir, feed))
+    return file_batch(spark, path)
+
+
 def bronze(spark: SparkSession, sf_dir: str, feed: str = "events") -> DataFrame:
     path = _stored(spark, ("bronze", sf_dir, feed), lambda: classify(records(spark, sf_dir, feed)))
     return spark.read.schema(BRONZE_15.schema).parquet(path)

@@ -11,11 +11,32 @@ from dataclasses import dataclass, fields
 from enum import Enum
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from tradeweir.errors import ContractError, IdentifierError, RoleError
 
 MONEY = "decimal(38,18)"
+DATA_TYPES = {
+    "string": StringType(),
+    "binary": BinaryType(),
+    "boolean": BooleanType(),
+    "int": IntegerType(),
+    "bigint": LongType(),
+    MONEY: DecimalType(38, 18),
+    "timestamp": TimestampType(),
+    "array<string>": ArrayType(StringType()),
+}
 
 
 @dataclass(frozen=True)
@@ -23,25 +44,28 @@ class Contract:
     """Named, ordered columns that a frame or a table has to match exactly."""
 
     name: str
-    ddl: str
+    types: dict[str, str]
 
     @property
-    def schema(self) -> StructType:
-        return StructType.fromDDL(self.ddl)
+    def columns(self) -> list[str]:
+        return list(self.types)
 
     @property
-    def columns(self) -> list[str]:
-        return self.schema.names
+    def ddl(self) -> str:
+        return ", ".join(f"{name} {kind}" for name, kind in self.types.items())
+
+    @property
+    def schema(self) -> StructType:
+        return StructType([StructField(n, DATA_TYPES[kind]) for n, kind in self.types.items()])
 
     def matches(self, schema: StructType) -> bool:
-        return _shape(schema) == _shape(self.schema)
+        return _shape(schema) == list(self.types.items())
 
     def require(self, frame: DataFrame, what: str = "frame") -> DataFrame:
         """Return ``frame`` unchanged, or say which columns are wrong."""
         if not self.matches(frame.schema):
-            raise ContractError(
-                f"{what} breaks contract {self.name}: {_difference(frame.schema, self.schema)}"
-            )
+            difference = _difference(_shape(frame.schema), list(self.types.items()))
+            raise ContractError(f"{what} breaks contract {self.name}: {difference}")
         return frame
 
     def require_names(self, frame: DataFrame, what: str = "frame") -> DataFrame:
@@ -57,63 +81,63 @@ class Contract:
 # Column names, order and types of the data model.
 KAFKA_RECORD = Contract(
     "KAFKA_RECORD",
-    """
-    key BINARY,
-    value BINARY,
-    topic STRING,
-    partition INT,
-    offset BIGINT,
-    timestamp TIMESTAMP
-    """,
+    {
+        "key": "binary",
+        "value": "binary",
+        "topic": "string",
+        "partition": "int",
+        "offset": "bigint",
+        "timestamp": "timestamp",
+    },
 )
 TRADE_EVENT = Contract(
     "TRADE_EVENT",
-    """
-    exchange STRING,
-    symbol STRING,
-    trade_id STRING,
-    price STRING,
-    quantity STRING,
-    event_time_ms BIGINT,
-    ingested_at_ms BIGINT
-    """,
+    {
+        "exchange": "string",
+        "symbol": "string",
+        "trade_id": "string",
+        "price": "string",
+        "quantity": "string",
+        "event_time_ms": "bigint",
+        "ingested_at_ms": "bigint",
+    },
 )
 BRONZE_13 = Contract(
     "BRONZE_13",
-    """
-    exchange STRING,
-    symbol STRING,
-    trade_id STRING,
-    price DECIMAL(38,18),
-    quantity DECIMAL(38,18),
-    event_time_ms BIGINT,
-    ingested_at_ms BIGINT,
-    kafka_key STRING,
-    kafka_topic STRING,
-    kafka_partition INT,
-    kafka_offset BIGINT,
-    kafka_timestamp TIMESTAMP,
-    raw_json STRING
-    """,
+    {
+        "exchange": "string",
+        "symbol": "string",
+        "trade_id": "string",
+        "price": MONEY,
+        "quantity": MONEY,
+        "event_time_ms": "bigint",
+        "ingested_at_ms": "bigint",
+        "kafka_key": "string",
+        "kafka_topic": "string",
+        "kafka_partition": "int",
+        "kafka_offset": "bigint",
+        "kafka_timestamp": "timestamp",
+        "raw_json": "string",
+    },
 )
-QUALITY_DDL = "is_valid BOOLEAN, validation_errors ARRAY<STRING>"
-BRONZE_15 = Contract("BRONZE_15", f"{BRONZE_13.ddl}, {QUALITY_DDL}")
+QUALITY = Contract("QUALITY", {"is_valid": "boolean", "validation_errors": "array<string>"})
+BRONZE_15 = Contract("BRONZE_15", BRONZE_13.types | QUALITY.types)
 SILVER_12 = Contract(
     "SILVER_12",
-    """
-    exchange STRING,
-    symbol STRING,
-    trade_id STRING,
-    price DECIMAL(38,18),
-    quantity DECIMAL(38,18),
-    notional DECIMAL(38,18),
-    event_time TIMESTAMP,
-    ingested_at TIMESTAMP,
-    latency_ms BIGINT,
-    kafka_topic STRING,
-    kafka_partition INT,
-    kafka_offset BIGINT
-    """,
+    {
+        "exchange": "string",
+        "symbol": "string",
+        "trade_id": "string",
+        "price": MONEY,
+        "quantity": MONEY,
+        "notional": MONEY,
+        "event_time": "timestamp",
+        "ingested_at": "timestamp",
+        "latency_ms": "bigint",
+        "kafka_topic": "string",
+        "kafka_partition": "int",
+        "kafka_offset": "bigint",
+    },
 )
 # Sort key of the serving copy. It clusters rows; it does not make them unique.
 SERVING_SORT_KEY = (
@@ -185,7 +209,7 @@ def create_table_sql(
     partition: str | None = None,
 ) -> str:
     """``CREATE TABLE IF NOT EXISTS`` for a contract (K6); ``partition`` adds one STRING column."""
-    columns = [f"{f.name} {f.dataType.simpleString()}" for f in contract.schema]
+    columns = [contract.ddl]
     tail = ""
     if partition is not None:
         columns.append(f"{check_identifier(partition, 1)} string")
@@ -219,8 +243,7 @@ def _shape(schema: StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema]
 
 
-def _difference(actual: StructType, expected: StructType) -> str:
-    have, want = _shape(actual), _shape(expected)
+def _difference(have: list[tuple[str, str]], want: list[tuple[str, str]]) -> str:
     lost = _words(pair for pair in want if pair not in have)
     extra = _words(pair for pair in have if pair not in want)
     if not lost and not extra:

@@ -34,16 +34,10 @@ def canonical_silver_json() -> Column:
     (F10, V3).
     """
     texts = []
-    for field in SILVER_12.schema:
-        value = F.col(field.name)
-        kind = field.dataType.typeName()
-        if kind == "timestamp":
-            text = iso_millis(value)
-        elif kind == "decimal":
-            text = value.cast(field.dataType).cast("string")
-        else:
-            text = value.cast("string")
-        texts.append(text.alias(field.name))
+    for name, kind in SILVER_12.types.items():
+        value = F.col(name)
+        text = iso_millis(value) if kind == "timestamp" else value.cast(kind).cast("string")
+        texts.append(text.alias(name))
     return F.to_json(F.struct(*texts), {"ignoreNullFields": "false"})
 
 

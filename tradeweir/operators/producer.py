@@ -96,12 +96,12 @@ def encode_for_kafka(events: DataFrame) -> DataFrame:
     """
     kinds = dict(events.dtypes)
     fields: list[Column] = []
-    for field in TRADE_EVENT.schema:
-        value = F.col(field.name)
-        if kinds[field.name].startswith("decimal"):
+    for name, kind in TRADE_EVENT.types.items():
+        value = F.col(name)
+        if kinds[name].startswith("decimal"):
             value = F.regexp_replace(value.cast("string"), r"(\.\d*?)0+$", "$1")
             value = F.regexp_replace(value, r"\.$", "")
-        fields.append(value.cast(field.dataType).alias(field.name))
+        fields.append(value.cast(kind).alias(name))
     return events.select(
         F.concat("exchange", F.lit(":"), "symbol").alias("key"),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),

@@ -46,9 +46,7 @@ class SourceProfile:
     omitted_symbols: int
 
     def require_no_nulls(self) -> SourceProfile:
-        bad = [f"{name}={count}" for name, count in self.null_counts.items() if count]
-        if bad:
-            raise NullsFoundError("required columns hold nulls: " + ", ".join(bad))
+        _refuse_nulls(self.null_counts)
         return self
 
 
@@ -100,24 +98,43 @@ def count_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def require_same_counts(left: DataFrame, right: DataFrame) -> None:
-    """Total rows, then the symbol sets, then rows per symbol; the first difference wins."""
-    found = (
-        count_diff(left, right)
-        .agg(
-            F.coalesce(F.sum("left_rows"), F.lit(0)).alias("left_total"),
-            F.coalesce(F.sum("right_rows"), F.lit(0)).alias("right_total"),
-            F.count_if(F.expr("left_rows = 0 OR right_rows = 0")).alias("one_sided"),
-            F.count_if(~F.col("same")).alias("different"),
-        )
-        .first()
+def require_same_profile(left: DataFrame, right: DataFrame) -> int:
+    """The common row count of two Silver frames without nulls and with the same rows per symbol.
+
+    Nulls are reported first, then total rows, then the symbol sets, then rows per symbol (P2). All
+    of it comes from one aggregate over both frames, so each is scanned once.
+    """
+    for side in (left, right):
+        SILVER_12.require(side, "compared frame")
+    on_left = F.col("from_left")
+    nulls = [
+        F.count_if(F.col(c).isNull() & (on_left if side == "left" else ~on_left)).alias(f"{side}_{c}")
+        for side in ("left", "right")
+        for c in SILVER_12.columns
+    ]
+    per_symbol = _tagged(left, right).groupBy(F.col("symbol").alias("group_symbol")).agg(
+        F.count_if(on_left).alias("left_rows"), F.count_if(~on_left).alias("right_rows"), *nulls
     )
-    if found.left_total != found.right_total:
-        raise CopyMismatchError(f"row counts differ: {found.left_total} and {found.right_total}")
+    found = per_symbol.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per_symbol.columns[1:]],
+        F.count_if(F.expr("left_rows = 0 OR right_rows = 0")).alias("one_sided"),
+        F.count_if(F.expr("left_rows <> right_rows")).alias("different"),
+    ).first()
+    for side in ("left", "right"):
+        _refuse_nulls({c: found[f"{side}_{c}"] for c in SILVER_12.columns}, f"{side} side: ")
+    if found.left_rows != found.right_rows:
+        raise CopyMismatchError(f"row counts differ: {found.left_rows} and {found.right_rows}")
     if found.one_sided:
         raise CopyMismatchError(f"{found.one_sided} symbols occur on one side only")
     if found.different:
         raise CopyMismatchError(f"{found.different} symbols have different row counts")
+    return found.left_rows
+
+
+def _refuse_nulls(counts: dict[str, int], where: str = "") -> None:
+    bad = [f"{name}={count}" for name, count in counts.items() if count]
+    if bad:
+        raise NullsFoundError(f"{where}required columns hold nulls: " + ", ".join(bad))
 
 
 def _tagged(left: DataFrame, right: DataFrame) -> DataFrame:

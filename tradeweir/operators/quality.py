@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeweir.contracts import BRONZE_13, BRONZE_15, MONEY, TRADE_EVENT
+from tradeweir.contracts import BRONZE_13, MONEY, QUALITY, TRADE_EVENT
 from tradeweir.functions.text import opens_object
 
 
@@ -83,7 +83,7 @@ def parse_trades(records: DataFrame) -> DataFrame:
     """Typed parse into the 13 Bronze columns (F2). A bad decimal fails the job."""
     parsed = kafka_envelope(records).withColumn("event", F.from_json("raw_json", TRADE_EVENT.ddl))
     money = {name: F.col(f"event.{name}").cast(MONEY) for name in ("price", "quantity")}
-    return parsed.select(_bronze_columns(money))
+    return parsed.select(*_bronze_columns(money))
 
 
 def classify(records: DataFrame) -> DataFrame:
@@ -144,16 +144,13 @@ def validity_summary(bronze: DataFrame) -> DataFrame:
 def as_not_evaluated(legacy: DataFrame) -> DataFrame:
     """13-column rows as the migrated table shows them: both quality columns null."""
     BRONZE_13.require(legacy, "legacy rows")
-    quality = BRONZE_15.schema[len(BRONZE_13.columns) :]
-    return legacy.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in quality])
+    return legacy.select(
+        "*", *[F.lit(None).cast(kind).alias(name) for name, kind in QUALITY.types.items()]
+    )
 
 
 def _bronze_columns(money: dict[str, Column]) -> list[Column]:
-    event_fields = set(TRADE_EVENT.columns)
-    picked = []
-    for name in BRONZE_13.columns:
-        source = money.get(name) if name in money else None
-        if source is None:
-            source = F.col(f"event.{name}" if name in event_fields else name)
-        picked.append(source.alias(name))
-    return picked
+    """The 13 columns in contract order: transport as is, the rest from ``event`` or ``money``."""
+    sources = {name: F.col(name) for name in BRONZE_13.columns}
+    sources |= {name: F.col(f"event.{name}") for name in TRADE_EVENT.columns}
+    return [source.alias(name) for name, source in (sources | money).items()]

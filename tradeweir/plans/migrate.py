@@ -7,7 +7,7 @@ from enum import Enum
 
 from pyspark.sql import SparkSession
 
-from tradeweir.contracts import QUALITY_DDL, BronzeState, TableRoles, bronze_state
+from tradeweir.contracts import QUALITY, BronzeState, TableRoles, bronze_state
 from tradeweir.errors import ContractError
 
 
@@ -31,7 +31,7 @@ def table_state(spark: SparkSession, table: str, roles: TableRoles) -> BronzeSta
 
 
 def add_columns_sql(table: str) -> str:
-    return f"ALTER TABLE {table} ADD COLUMNS ({QUALITY_DDL})"
+    return f"ALTER TABLE {table} ADD COLUMNS ({QUALITY.ddl})"
 
 
 def migrate_bronze(spark: SparkSession, table: str, roles: TableRoles) -> MigrationReport:

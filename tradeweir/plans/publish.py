@@ -26,7 +26,7 @@ from tradeweir.operators.metrics import with_event_month
 from tradeweir.operators.profile import (
     DEFAULT_SHOWN_SYMBOLS,
     SourceProfile,
-    require_same_counts,
+    require_same_profile,
     source_profile,
 )
 from tradeweir.sources.snapshots import (
@@ -148,12 +148,9 @@ def validate_copy(
     The id is never resolved again, so a newer source version does not disturb the comparison.
     """
     check_snapshot_id(snapshot_id)
-    rows = SILVER_12.require(read_version(spark, source, snapshot_id, fmt), source)
-    SILVER_12.require(copy, "copy")
-    source_profile(rows).require_no_nulls()
-    copied = source_profile(copy).require_no_nulls()
-    require_same_counts(rows, copy)
-    return CopyReport(snapshot_id, copied.row_count, require_same_rows(rows, copy))
+    rows = read_version(spark, source, snapshot_id, fmt)
+    row_count = require_same_profile(rows, copy)
+    return CopyReport(snapshot_id, row_count, require_same_rows(rows, copy))
 
 
 def exchange(spark: SparkSession, roles: TableRoles) -> ExchangeReport:
