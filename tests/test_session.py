@@ -2,8 +2,16 @@ from types import SimpleNamespace
 
 import pytest
 
-from tradeweir.contracts import SILVER_12
-from tradeweir.errors import ContractError, IdentifierError, PipelineError
+from tradeweir.contracts import SILVER_12, TableRoles
+from tradeweir.errors import (
+    ContractError,
+    IdentifierError,
+    NullsFoundError,
+    PipelineError,
+    RoleError,
+    SnapshotError,
+)
+from tradeweir.plans.jdbc_copy import load_jdbc_staging
 from tradeweir.session import (
     catalog_conf,
     credentials_from_env,
@@ -16,7 +24,9 @@ from tradeweir.sources.jdbc import (
     clickhouse_target,
     jdbc_options,
     partitioned_read_options,
+    replace_staging,
 )
+from tradeweir.sources.snapshots import commit_version
 from tests.rows import silver_rows
 
 STORE = {"endpoint": "http://s", "region": "r", "access_key": "a", "secret_key": "b"}
@@ -43,14 +53,13 @@ def test_credentials_come_from_the_environment():
         credentials_from_env({"AWS_ACCESS_KEY_ID": "a"})
 
 
-def test_ansi_is_required_and_the_zone_is_pinned(spark):
+def test_ansi_and_zone_are_pinned(spark):
     other = spark.newSession()
     other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    other.conf.set("spark.sql.ansi.enabled", "false")
     require_runtime(other)
     assert other.conf.get("spark.sql.session.timeZone") == "UTC"
-    other.conf.set("spark.sql.ansi.enabled", "false")
-    with pytest.raises(PipelineError, match="ansi"):
-        require_runtime(other)
+    assert other.conf.get("spark.sql.ansi.enabled") == "true"
 
 
 def test_scratch_follows_the_cluster_setting():
@@ -73,6 +82,20 @@ def test_jdbc_options():
         clickhouse_target("h", 1, "a.b", "u", "p")
 
 
+def test_jdbc_staging_checks_come_before_any_connection(spark, database):
+    roles = TableRoles(silver=f"{database}.silver")
+    nowhere = clickhouse_target("h", 1, "d", "u", "p")
+    with pytest.raises(RoleError):
+        load_jdbc_staging(spark, f"{database}.other", nowhere, roles)
+    with pytest.raises(SnapshotError):
+        load_jdbc_staging(spark, roles.silver, nowhere, roles)
+    commit_version(silver_rows(spark, {"symbol": None}), roles.silver)
+    with pytest.raises(NullsFoundError):
+        load_jdbc_staging(spark, roles.silver, nowhere, roles)
+    with pytest.raises(RoleError):
+        replace_staging(silver_rows(spark, {}), nowhere, roles.serving, roles)
+
+
 def test_jdbc_append_rejects_other_columns_first(spark):
     target = clickhouse_target("h", 1, "d", "u", "p")
     with pytest.raises(ContractError):

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tradeweir.errors import PipelineError
 
 BUSINESS_KEY = ("exchange", "symbol", "trade_id")
-# 2**13 offsets share a bucket. A bucket's distinct offsets are held together, so this bounds them.
+# 2**13 offsets share a bucket, and as many buckets share a block. Distinct offsets of a bucket are
+# held together and the buckets of a block meet in one window, so this bounds both.
 OFFSET_BUCKET_BITS = 13
 
 
@@ -40,46 +41,48 @@ def offset_gaps(rows: DataFrame) -> DataFrame:
     """Missing offset ranges between the first and last offset of each topic partition.
 
     Offsets are collected in buckets of fixed width, mostly before the shuffle because a Kafka
-    partition is read in order; gaps inside a bucket are found in place, and only each bucket's
-    first and last offset meet in a window to find the gaps between buckets.
+    partition is read in order. Gaps inside a bucket are found in place. The ends of neighbouring
+    buckets are compared within blocks of buckets, and then the ends of neighbouring blocks, so
+    that no window has to see a whole Kafka partition.
     """
+    at = ["kafka_topic", "kafka_partition"]
     buckets = (
         rows.where(F.col("kafka_offset").isNotNull())
-        .groupBy(
-            "kafka_topic",
-            "kafka_partition",
-            F.shiftright("kafka_offset", OFFSET_BUCKET_BITS).alias("bucket"),
-        )
-        .agg(F.array_sort(F.collect_set("kafka_offset")).alias("seen"))
+        .groupBy(*at, F.shiftright("kafka_offset", OFFSET_BUCKET_BITS).alias("bucket"))
+        .agg(F.sort_array(F.collect_set("kafka_offset")).alias("seen"))
     )
-    partition = Window.partitionBy("kafka_topic", "kafka_partition").orderBy("bucket")
+    neighbours = F.arrays_zip(
+        F.expr("slice(seen, 1, size(seen) - 1)").alias("after"),
+        F.expr("slice(seen, 2, size(seen))").alias("until"),
+    )
+    inside = buckets.select(*at, F.inline(neighbours).alias("after", "until"))
     ends = buckets.select(
-        "kafka_topic",
-        "kafka_partition",
+        *at,
         "bucket",
-        F.element_at("seen", 1).alias("until"),
+        F.shiftright("bucket", OFFSET_BUCKET_BITS).alias("block"),
+        F.element_at("seen", 1).alias("first"),
         F.element_at("seen", -1).alias("last"),
-    ).withColumn("after", F.lag("last").over(partition))
-    inside = buckets.select(
-        "kafka_topic",
-        "kafka_partition",
-        F.inline(
-            F.arrays_zip(
-                F.expr("slice(seen, 1, size(seen) - 1)").alias("after"),
-                F.expr("slice(seen, 2, size(seen))").alias("until"),
-            )
-        ).alias("after", "until"),
     )
-    between = ends.select("kafka_topic", "kafka_partition", "after", "until")
-    return inside.union(between).where("until > after + 1").select(
-        "kafka_topic",
-        "kafka_partition",
+    blocks = ends.groupBy(*at, "block").agg(
+        F.min("first").alias("first"), F.max("last").alias("last")
+    )
+    gaps = inside.union(_steps(ends, [*at, "block"], "bucket")).union(_steps(blocks, at, "block"))
+    return gaps.where("until > after + 1").select(
+        *at,
         F.expr("after + 1").alias("first_missing"),
         F.expr("until - 1").alias("last_missing"),
         F.expr("until - after - 1").alias("missing"),
     )
 
 
+def _steps(ranges: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    """From the end of each range to the start of the next one in its group."""
+    before = F.lag("last").over(Window.partitionBy(*group).orderBy(order))
+    return ranges.select(
+        "kafka_topic", "kafka_partition", before.alias("after"), F.col("first").alias("until")
+    )
+
+
 def freshness(silver: DataFrame) -> DataFrame:
     """Newest event per symbol and its age in milliseconds at query time."""
     age = F.unix_millis(F.current_timestamp()) - F.unix_millis(F.max("event_time"))

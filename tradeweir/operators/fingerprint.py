@@ -131,4 +131,4 @@ def require_same_rows(left: DataFrame, right: DataFrame) -> str:
 
 def _ordered_digest() -> Column:
     """SHA-256 of a group's parts in order. Parts begin with their hash or prefix."""
-    return F.sha2(F.array_join(F.array_sort(F.collect_list("part")), ""), 256)
+    return F.sha2(F.array_join(F.sort_array(F.collect_list("part")), ""), 256)

@@ -34,11 +34,15 @@ from tradeweir.sources.snapshots import (
     current_snapshot,
     point_view,
     read_version,
+    table_property,
     version_behind,
     version_table,
     write_version,
 )
 
+SORT_PROPERTY = "tradeweir.sort_key"
+SORT_KEY_TEXT = ",".join(SERVING_SORT_KEY)
+
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -89,20 +93,20 @@ def ensure_serving(spark: SparkSession, roles: TableRoles, fmt: str = "parquet")
         if namespace:
             spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
         if not spark.catalog.tableExists(name):
-            empty = version_table(name, 0)
-            spark.sql(create_table_sql(empty, SILVER_12, fmt, partition=SERVING_PARTITION))
-            point_view(spark, name, empty, SILVER_12.columns)
+            _show_empty(spark, name, fmt)
     check_serving(spark, roles)
 
 
 def check_serving(spark: SparkSession, roles: TableRoles) -> None:
-    """Both roles show the 12 columns and rest on tables partitioned by month (P5)."""
+    """Both roles show the 12 columns and rest on tables with the serving layout (P5)."""
     for name in (roles.serving, roles.staging):
         SILVER_12.require(spark.table(name), name)
         behind = version_behind(spark, name)
         paged = [c.name for c in spark.catalog.listColumns(behind) if c.isPartition]
         if paged != [SERVING_PARTITION]:
             raise ContractError(f"{behind} is partitioned by {paged}, not by {SERVING_PARTITION}")
+        if table_property(spark, behind, SORT_PROPERTY) != SORT_KEY_TEXT:
+            raise ContractError(f"{behind} is not declared as sorted by {SORT_KEY_TEXT}")
 
 
 def read_serving(spark: SparkSession, roles: TableRoles) -> DataFrame:
@@ -122,22 +126,29 @@ def load_staging(
 
     The source is checked completely before staging is touched.
     """
-    roles.require("silver", source)
-    snapshot_id = current_snapshot(spark, source, fmt)
-    rows = SILVER_12.require(read_version(spark, source, snapshot_id, fmt), source)
-    profile = source_profile(rows, shown_symbols).require_no_nulls()
+    snapshot_id, rows, profile = checked_source(spark, source, roles, fmt, shown_symbols)
     ensure_serving(spark, roles, fmt)
     clear_staging(spark, roles, fmt)
     return _stage(spark, source, snapshot_id, rows, profile, roles, fmt)
 
 
+def checked_source(
+    spark: SparkSession,
+    source: str,
+    roles: TableRoles,
+    fmt: str = "parquet",
+    shown_symbols: int = DEFAULT_SHOWN_SYMBOLS,
+) -> tuple[int, DataFrame, SourceProfile]:
+    """Id, rows and profile of the current source snapshot, which has no nulls."""
+    roles.require("silver", source)
+    snapshot_id = current_snapshot(spark, source, fmt)
+    rows = SILVER_12.require(read_version(spark, source, snapshot_id, fmt), source)
+    return snapshot_id, rows, source_profile(rows, shown_symbols).require_no_nulls()
+
+
 def clear_staging(spark: SparkSession, roles: TableRoles, fmt: str = "parquet") -> None:
     """Show an empty version behind ``staging`` (K9). The serving role cannot be emptied."""
-    empty = version_table(roles.staging, 0)
-    spark.sql(create_table_sql(empty, SILVER_12, fmt, partition=SERVING_PARTITION))
-    if spark.table(empty).head(1):
-        raise PublishError(f"{empty} has to stay empty but holds rows")
-    point_view(spark, roles.staging, empty, SILVER_12.columns)
+    _show_empty(spark, roles.staging, fmt)
 
 
 def validate_copy(
@@ -189,6 +200,7 @@ def _stage(
         serving_layout(rows), roles.staging, fmt, partition_by=[SERVING_PARTITION]
     )
     staged_table = version_table(roles.staging, version)
+    _declare_sort_key(spark, staged_table)
     point_view(spark, roles.staging, staged_table, SILVER_12.columns)
     staged = spark.table(roles.staging).count()
     if staged != profile.row_count:
@@ -196,5 +208,18 @@ def _stage(
     return LoadReport(source, snapshot_id, profile, staged_table, staged)
 
 
+def _show_empty(spark: SparkSession, role: str, fmt: str) -> None:
+    empty = version_table(role, 0)
+    spark.sql(create_table_sql(empty, SILVER_12, fmt, partition=SERVING_PARTITION))
+    if spark.table(empty).head(1):
+        raise PublishError(f"{empty} has to stay empty but holds rows")
+    _declare_sort_key(spark, empty)
+    point_view(spark, role, empty, SILVER_12.columns)
+
+
+def _declare_sort_key(spark: SparkSession, table: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{SORT_PROPERTY}' = '{SORT_KEY_TEXT}')")
+
+
 def _row_counts(spark: SparkSession, roles: TableRoles) -> tuple[int, int]:
     return spark.table(roles.serving).count(), spark.table(roles.staging).count()

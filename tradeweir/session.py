@@ -107,12 +107,9 @@ def build_session(
 
 
 def require_runtime(spark: SparkSession) -> SparkSession:
-    """Pin the zone of an existing session and insist on ANSI arithmetic."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if spark.conf.get("spark.sql.ansi.enabled").lower() != "true":
-        raise PipelineError(
-            "spark.sql.ansi.enabled must be true: decimal overflow has to fail, not turn null"
-        )
+    """Give an existing session the settings the results depend on."""
+    for key, value in CORE_CONF.items():
+        spark.conf.set(key, value)
     return spark
 
 

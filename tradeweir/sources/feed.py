@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeweir.sources.tables import scan_parquet
+
 TOPIC = "market.trades.raw"
 
 # Records whose number is divisible by one of these primes are broken in one way;
@@ -25,7 +27,7 @@ BREAKAGE = {
 
 def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as unbroken trade columns, one per row, with a running ``record_no``."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    events = scan_parquet(spark, f"{sf_dir}/events.parquet").select(
         F.col("event_id").alias("record_no"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("event_time_ms"),
         F.col("ts").cast("timestamp").alias("kafka_timestamp"),
@@ -55,7 +57,7 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as trade columns: the larger feed, with repeated business keys."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    items = scan_parquet(spark, f"{sf_dir}/lineitem.parquet").select(
         F.expr("l_orderkey * 8 + l_linenumber").alias("record_no"),
         "l_orderkey",
         "l_linenumber",

@@ -1,4 +1,4 @@
-"""JDBC copy of Silver (S5, K5). Options are plain dicts; credentials come from the caller.
+"""JDBC copy of Silver (S5, K5, K9). Options are plain dicts; credentials come from the caller.
 
 A JDBC append is not atomic: a task that is run again after a lost executor may insert its rows
 twice. Publishing therefore always compares counts and fingerprints after the write.
@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeweir.contracts import SILVER_12, check_identifier
+from tradeweir.contracts import SILVER_12, TableRoles, check_identifier
 
 
 @dataclass(frozen=True)
@@ -67,19 +67,33 @@ def read_copy(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def append_copy(
+def append_copy(silver: DataFrame, target: JdbcTarget, table: str, **tuning: int) -> None:
+    """Append Silver rows in contract order (K5)."""
+    _write(silver, target, table, "append", **tuning)
+
+
+def replace_staging(
+    silver: DataFrame, target: JdbcTarget, table: str, roles: TableRoles, **tuning: int
+) -> None:
+    """Empty the staging role and write Silver rows to it; the table itself is kept (K9)."""
+    _write(silver, target, roles.require("staging", table), "overwrite", truncate=True, **tuning)
+
+
+def _write(
     silver: DataFrame,
     target: JdbcTarget,
     table: str,
+    mode: str,
     *,
+    truncate: bool = False,
     batch_rows: int = 50_000,
     connections: int = 16,
 ) -> None:
-    """Append Silver rows in contract order over at most ``connections`` connections (K5)."""
     SILVER_12.require_names(silver, "JDBC input")
     options = {
         **jdbc_options(target, table),
         "batchsize": str(batch_rows),
         "numPartitions": str(connections),
+        "truncate": str(truncate).lower(),
     }
-    silver.write.format("jdbc").options(**options).mode("append").save()
+    silver.write.format("jdbc").options(**options).mode(mode).save()

@@ -91,11 +91,15 @@ def point_view(
 
 def version_behind(spark: SparkSession, view: str) -> str:
     """The version table a view shows at this moment."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {check_identifier(view)}").collect()
-    found = {r.key: r.value for r in rows}
-    if VERSION_PROPERTY not in found:
+    target = table_property(spark, view, VERSION_PROPERTY)
+    if target is None:
         raise SnapshotError(f"{view} does not show a version table")
-    return found[VERSION_PROPERTY]
+    return target
+
+
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {check_identifier(table)}").collect()
+    return next((r.value for r in rows if r.key == key), None)
 
 
 def current_snapshot(spark: SparkSession, table: str, fmt: str = "parquet") -> int:
@@ -108,8 +112,6 @@ def current_snapshot(spark: SparkSession, table: str, fmt: str = "parquet") -> i
             .select("snapshot_id")
             .first()
         )
-    except SnapshotError:
-        raise
     except Exception as cause:
         raise SnapshotError(f"no history can be read for {table}") from cause
     if newest is None:
