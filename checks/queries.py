@@ -179,6 +179,12 @@ def multiset_fingerprint(spark, sf_dir):
     return fingerprint.tree_fingerprint(tables.silver(spark, sf_dir))
 
 
+def stream_fingerprint(spark, sf_dir):
+    """The single SHA-256 over all pairs in hash order."""
+    digest = fingerprint.stream_fingerprint(tables.silver(spark, sf_dir))
+    return spark.range(1).select(F.lit(digest).alias("fingerprint"))
+
+
 def bulk_fingerprint(spark, sf_dir):
     return fingerprint.tree_fingerprint(tables.silver(spark, sf_dir, "lineitem"))
 
@@ -354,8 +360,9 @@ def stream_minute_metrics(spark, sf_dir):
         .trigger(availableNow=True)
     )
     query.start(folder).awaitTermination()
-    ahead = rows.limit(1).withColumns(
-        {"symbol": F.lit("closer"), "event_time": F.lit("2034-01-01").cast("timestamp")}
+    newest = rows.agg(F.max(F.struct("event_time", *rows.drop("event_time").columns)).alias("r"))
+    ahead = newest.select("r.*").select(*SILVER_12.columns).withColumns(
+        {"symbol": F.lit("closer"), "event_time": F.expr("event_time + INTERVAL 10 YEARS")}
     )
     ahead.write.mode("append").parquet(source)
     query.start(folder).awaitTermination()
@@ -430,6 +437,7 @@ QUERIES: dict[str, Query] = {
         count_diff,
         row_hashes,
         multiset_fingerprint,
+        stream_fingerprint,
         bulk_fingerprint,
         multiset_diff,
         except_all_diff,
