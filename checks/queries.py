@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import datetime
 
@@ -370,20 +371,18 @@ def stream_minute_metrics(spark, sf_dir):
 
 
 def table_inspection(spark, sf_dir):
-    """Sizes of the listings of an inspected Silver table."""
+    """What an inspection says of a Silver table with two versions."""
     require_runtime(spark)
     roles = _roles(scratch_database(spark, "inspected"))
-    commit_version(tables.silver(spark, sf_dir), roles.silver)
+    for feed in ("lineitem", "events"):
+        commit_version(tables.silver(spark, sf_dir, feed), roles.silver)
     sections = inspect.inspect_table(spark, roles.silver)
+    counted = {name: sections[name] for name in ("row_count", "snapshots_count", "history_count")}
+    counted["schema_columns"] = sections["schema"].agg(F.count("*").alias("row_count"))
     parts = [
-        frame.select(F.lit(name).alias("section"), F.col("row_count"))
-        for name, frame in sections.items()
-        if name.endswith("_count")
+        frame.select(F.lit(name).alias("section"), "row_count") for name, frame in counted.items()
     ]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.union(part)
-    return united
+    return functools.reduce(DataFrame.union, parts)
 
 
 # Extras

@@ -132,7 +132,29 @@ def _read_files(frame):
     return [r[0] for r in frame.select("_metadata.file_path").distinct().collect()]
 
 
-def test_median_plan_has_no_unbounded_window(spark):
-    frame = silver_rows(spark, {})
-    plan = metrics.median_latency(frame, ["symbol"])._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+def test_kpis_use_no_cross_join_and_read_the_counts_once(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    silver_rows(spark, {}, {"symbol": "ETH"}).write.parquet(path)
+    for keys in ([], ["symbol"]):
+        frame = metrics.context_kpis(spark.read.parquet(path), keys)
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+        assert "ReusedExchange" in final
+        assert final.count("FileScan") == 2
+
+
+def test_hot_symbol(spark):
+    """A symbol with a third of all rows, against plain Python."""
+    rng = random.Random(3)
+    rows = []
+    for n in range(1500):
+        symbol = "HOT" if n % 3 == 0 else f"S{n}"
+        rows.append((symbol, NOON + n * SECOND, 0, n, Decimal(n + 1), rng.randint(-5, 900)))
+    found = {r.symbol: r for r in metrics.context_kpis(_trades(spark, *rows), ["symbol"]).collect()}
+    hot = [r for r in rows if r[0] == "HOT"]
+    assert len(found) == 1001
+    assert found["HOT"].trade_count == 500
+    assert found["HOT"].latest_price == hot[-1][4]
+    assert found["HOT"].median_latency_ms == statistics.median(r[5] for r in hot)

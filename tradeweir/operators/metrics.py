@@ -80,7 +80,11 @@ def context_kpis(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
     shuffle, and one of ``keys`` and ``latency_ms`` alone for the exact median.
     """
     totals = silver.groupBy(*keys).agg(trade_count(), notional_volume(), latest_price())
-    return _left_join_on(totals, median_latency(silver, keys), keys)
+    medians = median_latency(silver, keys)
+    # Each side has one row per group, so grouping their union joins them: null-safe, without a
+    # join, and the same with no keys at all.
+    both = totals.unionByName(medians, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
 
 
 def median_latency(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -145,6 +149,7 @@ def weighted_median(
         F.col(weight).alias("_weight"),
         F.shiftright(value, MEDIAN_BUCKET_BITS).alias("_bucket"),
     )
+    near_keys = [*[f"_near_{k}" for k in keys], "_near_bucket"]
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     middle = (
@@ -160,15 +165,15 @@ def weighted_median(
         .withColumn("_high", F.expr("_total div 2"))
         .where("_before <= _high AND _before + _inside > _low")
         .select(
-            *[F.col(k).alias(f"_near_{k}") for k in keys],
-            F.col("_bucket").alias("_near_bucket"),
+            *[F.col(c).alias(n) for c, n in zip([*keys, "_bucket"], near_keys)],
             "_before",
             "_low",
             "_high",
         )
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_near_{k}")) for k in keys]
-    near = known.join(middle, _all([F.col("_bucket") == F.col("_near_bucket"), *on]))
+    # Null-safe equality adds no filter to one side, so both read the same shuffled counts.
+    on = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip([*keys, "_bucket"], near_keys)]
+    near = known.join(middle, _all(on))
     within = (
         Window.partitionBy(*keys, "_bucket")
         .orderBy("_value")
@@ -189,19 +194,6 @@ def with_event_month(silver: DataFrame) -> DataFrame:
     return silver.withColumn(SERVING_PARTITION, month_key(F.col("event_time")))
 
 
-def _left_join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on null-safe keys; without keys both sides are single rows."""
-    if not keys:
-        one = F.lit(1).alias("_one")
-        joined = left.select("*", one).join(right.select("*", one), "_one", "left")
-        return joined.drop("_one")
-    other = right.select(
-        *[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys]
-    )
-    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return left.join(other, _all(on), "left").drop(*[f"_{k}" for k in keys])
-
-
 def _all(conditions: Sequence[Column]) -> Column:
     result = conditions[0]
     for condition in conditions[1:]:
