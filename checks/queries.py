@@ -29,13 +29,16 @@ FILTER_START = datetime(2024, 1, 8)
 FILTER_END = datetime(2024, 1, 22, 12, 30)
 
 
-def portable(frame: DataFrame) -> DataFrame:
-    """Decimals, timestamps and arrays as text, so that two engines can be compared exactly."""
+def portable(frame: DataFrame, *as_text: str) -> DataFrame:
+    """Decimals, timestamps and arrays as text, so that two engines can be compared exactly.
+
+    ``as_text`` names further columns to convert: numbers and flags that hold nulls.
+    """
     columns = []
     for field in frame.schema:
         value = F.col(field.name)
         kind = field.dataType.typeName()
-        if kind == "decimal":
+        if kind == "decimal" or field.name in as_text:
             value = value.cast("string")
         elif kind == "timestamp":
             value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -45,6 +48,10 @@ def portable(frame: DataFrame) -> DataFrame:
     return frame.select(*columns)
 
 
+def bronze_text(bronze: DataFrame) -> DataFrame:
+    return portable(bronze, "event_time_ms", "ingested_at_ms")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw feed -> Bronze -> Silver -> volume per symbol and minute, as one plan."""
     classified = quality.classify(tables.records(spark, sf_dir))
@@ -55,11 +62,11 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_classify(spark, sf_dir):
-    return portable(quality.classify(tables.records(spark, sf_dir)))
+    return bronze_text(quality.classify(tables.records(spark, sf_dir)))
 
 
 def bulk_bronze_classify(spark, sf_dir):
-    return portable(quality.classify(tables.records(spark, sf_dir, "lineitem")))
+    return bronze_text(quality.classify(tables.records(spark, sf_dir, "lineitem")))
 
 
 def bronze_label_counts(spark, sf_dir):
@@ -92,7 +99,8 @@ def bronze_migrated_mix(spark, sf_dir):
             "kafka_offset",
             "is_valid",
             "validation_errors",
-        )
+        ),
+        "is_valid",
     )
 
 
@@ -107,7 +115,7 @@ def quality_append(spark, sf_dir):
     append.append_classified(
         quality.classify(tables.records(spark, sf_dir)), roles.smoke, roles
     )
-    return portable(spark.table(roles.smoke))
+    return bronze_text(spark.table(roles.smoke))
 
 
 # Silver
@@ -324,7 +332,7 @@ def stream_bronze_append(spark, sf_dir):
     roles, source, checkpoint = _stream_setup(spark)
     tables.records(spark, sf_dir).write.parquet(source)
     _drain(spark, source, checkpoint, roles)
-    return portable(spark.table(roles.bronze))
+    return bronze_text(spark.table(roles.bronze))
 
 
 def stream_restart(spark, sf_dir):
@@ -336,7 +344,7 @@ def stream_restart(spark, sf_dir):
     _drain(spark, source, checkpoint, roles)
     tables.records(spark, sf_dir, "lineitem").write.mode("append").parquet(source)
     _drain(spark, source, checkpoint, roles)
-    return portable(spark.table(roles.bronze).drop("raw_json"))
+    return bronze_text(spark.table(roles.bronze).drop("raw_json"))
 
 
 def archive_batch(spark, sf_dir):
@@ -344,7 +352,7 @@ def archive_batch(spark, sf_dir):
     require_runtime(spark)
     folder = scratch_folder(spark, "archive")
     tables.records(spark, sf_dir).write.parquet(folder)
-    return portable(quality.classify(file_batch(spark, folder)))
+    return bronze_text(quality.classify(file_batch(spark, folder)))
 
 
 def stream_minute_metrics(spark, sf_dir):
@@ -389,7 +397,7 @@ def table_inspection(spark, sf_dir):
 
 
 def quarantine(spark, sf_dir):
-    return portable(audit.quarantine(tables.bronze(spark, sf_dir)))
+    return bronze_text(audit.quarantine(tables.bronze(spark, sf_dir)))
 
 
 def dedup_business_key(spark, sf_dir):

@@ -50,6 +50,12 @@ def test_median_by_brute_force(spark, bits, monkeypatch):
     assert whole == float(statistics.median([v for vs in values.values() for v in vs]))
 
 
+def test_approximate_median(spark):
+    frame = spark.createDataFrame([("A", n) for n in range(101)], "symbol string, latency_ms bigint")
+    row = metrics.median_latency(frame, ["symbol"], approximate=True).first()
+    assert row == ("A", 50.0)
+
+
 def test_kpis_of_nothing(spark):
     row = metrics.kpi_row(silver_rows(spark)).first()
     assert row == (0, None, None, None)
