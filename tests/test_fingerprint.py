@@ -112,3 +112,15 @@ def test_last_decimal_digit_matters(spark):
     with pytest.raises(CopyMismatchError):
         require_same_rows(left, right)
     assert require_same_rows(left, silver_rows(spark, {})) == _tree(left)
+
+
+def test_two_sided_trees_equal_single_ones(spark):
+    left, right = _many(spark, [*range(300), 5]), _many(spark, range(250, 600))
+    with pytest.raises(CopyMismatchError) as caught:
+        require_same_rows(left, right)
+    assert _tree(left) in str(caught.value) and _tree(right) in str(caught.value)
+    same = _many(spark, [5, *reversed(range(300))])
+    assert require_same_rows(left, same) == _tree(left)
+    assert require_same_rows(_many(spark, []), _many(spark, [])) == NOTHING
+    with pytest.raises(CopyMismatchError, match=NOTHING):
+        require_same_rows(left, _many(spark, []))

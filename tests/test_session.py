@@ -14,6 +14,7 @@ from tradeweir.errors import (
 from tradeweir.plans.jdbc_copy import load_jdbc_staging
 from tradeweir.session import (
     catalog_conf,
+    cluster_conf,
     credentials_from_env,
     object_store_conf,
     require_runtime,
@@ -46,6 +47,12 @@ def test_object_store_settings():
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
 
 
+def test_cluster_sizes_follow_the_cores():
+    conf = cluster_conf(4000)
+    assert conf["spark.sql.shuffle.partitions"] == "12000"
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "32000"
+
+
 def test_credentials_come_from_the_environment():
     env = {"AWS_ACCESS_KEY_ID": "a", "AWS_SECRET_ACCESS_KEY": "b"}
     assert credentials_from_env(env) == {"access_key": "a", "secret_key": "b"}

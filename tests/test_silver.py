@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal, getcontext
 
 import pytest
@@ -69,6 +70,20 @@ def test_exact_product_equals_big_integers(spark):
     assert [r.x for r in rows] == [r.price * r.quantity for r in rows]
 
 
+def test_random_products(spark):
+    rng = random.Random(11)
+
+    def number(whole, decimals):
+        return f"{rng.randrange(10 ** rng.randint(0, whole))}.{rng.randrange(10**decimals):0{decimals}}"
+
+    pairs = []
+    for _ in range(1500):
+        decimals = rng.randint(1, 17)
+        pairs.append((number(10, decimals), number(6, 18 - decimals)))
+    rows = _product(_pairs(spark, *pairs), exact_product).collect()
+    assert [r.x for r in rows] == [r.price * r.quantity for r in rows]
+
+
 @pytest.mark.parametrize(
     ("pair", "message"),
     [

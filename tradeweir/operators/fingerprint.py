@@ -54,23 +54,8 @@ def tree_fingerprint(
 
     ``leaf_digits`` and ``fan_digits`` shape the tree and so are part of the digest's identity.
     """
-    if leaf_digits < 1 or fan_digits < 1:
-        raise PipelineError("leaf_digits and fan_digits must be at least 1")
-    level = row_hash_counts(silver).select(
-        F.left("row_hash", F.lit(leaf_digits)).alias("prefix"),
-        length_prefixed(F.col("row_hash"), F.col("multiplicity")).alias("part"),
-    )
-    digits = leaf_digits
-    while True:
-        level = level.groupBy("prefix").agg(_ordered_digest().alias("digest"))
-        digits = max(0, digits - fan_digits)
-        parents = level.select(
-            F.left("prefix", F.lit(digits)).alias("prefix"),
-            F.concat("prefix", "digest").alias("part"),
-        )
-        if digits == 0:
-            return parents.agg(_ordered_digest().alias("fingerprint"))
-        level = parents
+    counts = row_hash_counts(silver)
+    return _tree(counts, {"fingerprint": "multiplicity"}, leaf_digits, fan_digits)
 
 
 def stream_fingerprint(silver: DataFrame, *, max_pairs: int = STREAM_PAIR_LIMIT) -> str:
@@ -89,24 +74,7 @@ def stream_fingerprint(silver: DataFrame, *, max_pairs: int = STREAM_PAIR_LIMIT)
 
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Row hashes whose number of occurrences differs between two Silver frames."""
-    hashed = [
-        canonical_rows(side).select(
-            F.unhex(F.sha2("canonical_row", 256)).alias("hash"), F.lit(sign).alias("from_left")
-        )
-        for side, sign in ((left, True), (right, False))
-    ]
-    counted = (
-        hashed[0]
-        .union(hashed[1])
-        .groupBy("hash")
-        .agg(
-            F.count_if("from_left").alias("left_count"),
-            F.count_if(~F.col("from_left")).alias("right_count"),
-        )
-    )
-    return counted.where("left_count <> right_count").select(
-        F.lower(F.hex("hash")).alias("row_hash"), "left_count", "right_count"
-    )
+    return _two_sided_counts(left, right).where("left_count <> right_count")
 
 
 def except_all_diff(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -117,18 +85,63 @@ def except_all_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def require_same_rows(left: DataFrame, right: DataFrame) -> str:
-    """The common ``tree`` fingerprint of two datasets, or an error if they differ."""
-    sides = tree_fingerprint(left).withColumn("side", F.lit("left")).union(
-        tree_fingerprint(right).withColumn("side", F.lit("right"))
+    """The common ``tree`` fingerprint of two datasets, or an error if they differ.
+
+    Both trees grow from one grouping of both datasets: equal rows travel as one pair.
+    """
+    counts = _two_sided_counts(left, right)
+    found = _tree(
+        counts, {"left": "left_count", "right": "right_count"}, LEAF_DIGITS, FAN_DIGITS
+    ).first()
+    if found.left != found.right:
+        raise CopyMismatchError(f"row fingerprints differ: {found.left} and {found.right}")
+    return found.left
+
+
+def _two_sided_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Each row hash with its number of occurrences on either side."""
+    sides = [
+        canonical_rows(frame).select(
+            F.unhex(F.sha2("canonical_row", 256)).alias("hash"), F.lit(tag).alias("from_left")
+        )
+        for frame, tag in ((left, True), (right, False))
+    ]
+    counted = sides[0].union(sides[1]).groupBy("hash").agg(
+        F.count_if("from_left").alias("left_count"),
+        F.count_if(~F.col("from_left")).alias("right_count"),
+    )
+    return counted.select(F.lower(F.hex("hash")).alias("row_hash"), "left_count", "right_count")
+
+
+def _tree(
+    counts: DataFrame, sides: dict[str, str], leaf_digits: int, fan_digits: int
+) -> DataFrame:
+    """One row with a digest per side; ``sides`` maps its name to its column of occurrences.
+
+    A prefix without rows of a side has no part in that side's tree.
+    """
+    if leaf_digits < 1 or fan_digits < 1:
+        raise PipelineError("leaf_digits and fan_digits must be at least 1")
+    level = counts.select(
+        F.left("row_hash", F.lit(leaf_digits)).alias("prefix"),
+        *[
+            F.when(F.col(n) > 0, length_prefixed(F.col("row_hash"), F.col(n))).alias(side)
+            for side, n in sides.items()
+        ],
     )
-    found = {r.side: r.fingerprint for r in sides.collect()}
-    if found["left"] != found["right"]:
-        raise CopyMismatchError(
-            f"row fingerprints differ: {found['left']} and {found['right']}"
+    digits = leaf_digits
+    while digits > 0:
+        digests = level.groupBy("prefix").agg(*[_ordered_digest(s).alias(s) for s in sides])
+        digits = max(0, digits - fan_digits)
+        level = digests.select(
+            F.left("prefix", F.lit(digits)).alias("prefix"),
+            *[F.concat("prefix", s).alias(s) for s in sides],
         )
-    return found["left"]
+    nothing = F.sha2(F.lit(""), 256)
+    return level.agg(*[F.coalesce(_ordered_digest(s), nothing).alias(s) for s in sides])
 
 
-def _ordered_digest() -> Column:
-    """SHA-256 of a group's parts in order. Parts begin with their hash or prefix."""
-    return F.sha2(F.array_join(F.sort_array(F.collect_list("part")), ""), 256)
+def _ordered_digest(part: str) -> Column:
+    """SHA-256 of a group's parts in order, null without any. Parts begin with hash or prefix."""
+    parts = F.sort_array(F.collect_list(part))
+    return F.when(F.size(parts) > 0, F.sha2(F.array_join(parts, ""), 256))

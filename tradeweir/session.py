@@ -77,6 +77,23 @@ def object_store_conf(
     }
 
 
+def cluster_conf(cores: int) -> dict[str, str]:
+    """Shuffle and scan sizes for a cluster of ``cores``; adaptive execution does the rest.
+
+    Shuffles start with many small partitions, so that a partition of even a very large exchange fits
+    in memory, and are merged at run time to about the advisory size.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(8 * cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.shuffle.partitions": str(3 * cores),
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def credentials_from_env(
     environ: Mapping[str, str] | None = None,
     *,
