@@ -6,7 +6,7 @@ import __spark_entry__ as driver
 from checks.compare import differences, oracle_connection
 
 SF_DIR = driver.SMOKE_DIR
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = driver.QUERIES, driver.ORACLE
 
 
 @pytest.fixture(scope="module")
