@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradeweir.llm import decontaminate, packing
+from tradeweir.llm import decontaminate, packing, quality, toxicity
 from tradeweir.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,12 +18,23 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
+    return quality.classify(read(spark, sf_dir, "documents"), labels)
+
+
 def op7_grouping_ga(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The categories that the labels have: junk (quality 0) comes first and informs toxic."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    return toxicity.predict(read(spark, sf_dir, "documents"), labels, ["junk", "toxic"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_winnowing, op7_grouping_ga)
+    f.__name__: f for f in (op4_winnowing, op6_fourier_quality, op7_grouping_ga, op10_toxicity_chain)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -32,15 +44,15 @@ ORACLE: dict[str, str] = {
     "op4_winnowing": rf"""
 WITH item AS (SELECT item_id, w, least(len(w), 10) AS m FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
 windows AS (
-  SELECT DISTINCT item_id, m, array_to_string(w[s:s + m - 1], ' ') AS window
+  SELECT DISTINCT item_id, m, array_to_string(w[s:s + m - 1], ' ') AS span
   FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM item)),
 doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 hit AS (
   SELECT doc_id, s, d.m, item_id
-  FROM (SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS window
+  FROM (SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS span
         FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s
               FROM doc, (SELECT DISTINCT m FROM item) WHERE len(w) >= m)) d
-  JOIN windows USING (window, m)),
+  JOIN windows USING (span, m)),
 covered AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM hit) GROUP BY doc_id),
 found AS (
