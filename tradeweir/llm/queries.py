@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweir.llm import decontaminate, packing, quality, toxicity
+from tradeweir.llm import decontaminate, packing, quality, toxicity, urls, vectors
 from tradeweir.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,14 @@ def op7_grouping_ga(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op8_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents").select("text"))
+
+
+def op9_tiled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The categories that the labels have: junk (quality 0) comes first and informs toxic."""
     labels = read(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
@@ -34,7 +42,7 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_winnowing, op6_fourier_quality, op7_grouping_ga, op10_toxicity_chain)
+    f.__name__: f for f in (op4_winnowing, op6_fourier_quality, op7_grouping_ga, op8_host_words, op9_tiled_vectors, op10_toxicity_chain)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
