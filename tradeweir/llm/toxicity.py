@@ -31,13 +31,13 @@ from tradeweir.llm.common import id_and_text, passes
 from tradeweir.llm.quality import bounded, held_out
 from tradeweir.llm.words import hash_runs, mix, words_of
 
-MAX_ROWS = 40_000
-MAX_FEATURES = 8192
+MAX_ROWS = 16_000
+MAX_FEATURES = 4096
 MIN_TEXTS = 3
 MIN_Z = 4.5
 FOLDS = 3
 L2 = 0.005
-STEPS = 300
+STEPS = 120
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

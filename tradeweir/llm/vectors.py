@@ -43,6 +43,8 @@ def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         while len(row):
             part = linked[row] & columns_left
             column = np.flatnonzero(part.any(0))
+            if len(column) == 0:
+                break
             a.append(row[part[:, column].argmax(0)])
             b.append(column)
             columns_left[column] = False
