@@ -8,12 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweir.llm import decontaminate, packing, quality, toxicity, urls, vectors
+from tradeweir.llm import decontaminate, fixity, packing, quality, scoring, toxicity, urls, vectors
 from tradeweir.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = scoring.score(read(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' records against a replica damaged by a rule: a byte's case flipped, a record lost or added."""
+    records = fixity.warc_records(read(spark, sf_dir, "pages")).select("file", "offset", "page_id", "digest")
+    damage = F.pmod(F.col("page_id") * 31 + 7, F.lit(97))
+    digest = F.when(damage == 3, F.sha2(F.concat(F.lit("damaged"), "digest"), 256)).otherwise(F.col("digest"))
+    replica = records.where(F.coalesce(damage != 5, F.lit(True))).withColumn("digest", digest)
+    added = records.where(damage == 11).withColumn("offset", F.col("offset") + 1)
+    return fixity.audit(records, replica.union(added.select(*replica.columns)))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -42,13 +57,41 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_winnowing, op6_fourier_quality, op7_grouping_ga, op8_host_words, op9_tiled_vectors, op10_toxicity_chain)
+    f.__name__: f for f in (op1_stupid_backoff, op2_merkle_fixity, op4_winnowing, op6_fourier_quality, op7_grouping_ga, op8_host_words, op9_tiled_vectors, op10_toxicity_chain)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE: dict[str, str] = {
+    "op1_stupid_backoff": rf"""
+WITH doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+word AS (SELECT doc_id, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a
+         FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+one AS (SELECT b AS x, count(*) AS n FROM word GROUP BY 1),
+two AS (SELECT a, b, count(*) AS n FROM word WHERE a IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2),
+total AS (SELECT count(*) AS n FROM word),
+score AS (
+  SELECT doc_id, ln(CASE WHEN two.n IS NOT NULL THEN two.n / before.n
+                         WHEN word.a IS NULL THEN own.n / total.n ELSE 0.4 * own.n / total.n END) AS s
+  FROM word JOIN one own ON own.x = word.b LEFT JOIN one before ON before.x = word.a
+  LEFT JOIN two ON two.a = word.a AND two.b = word.b CROSS JOIN total),
+sums AS (SELECT doc_id, avg(s) AS s FROM score GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(s, 6) AS mean_log_score FROM doc LEFT JOIN sums USING (doc_id)""",
+    "op2_merkle_fixity": """
+WITH record AS (
+  SELECT page_id, page_id // 1024 AS file,
+         octet_length(encode('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+           || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: '
+           || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+           || chr(13) || chr(10) || chr(13) || chr(10))) AS size
+  FROM pages),
+placed AS (
+  SELECT page_id, file, (page_id * 31 + 7) % 97 AS damage, CAST(coalesce(sum(size) OVER (
+    PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+  FROM record)
+SELECT page_id, file, "offset", CASE damage WHEN 3 THEN 'changed' ELSE 'missing' END AS kind FROM placed WHERE damage IN (3, 5)
+UNION ALL SELECT page_id, file, "offset" + 1, 'extra' FROM placed WHERE damage = 11""",
     "op4_winnowing": rf"""
 WITH item AS (SELECT item_id, w, least(len(w), 10) AS m FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
 windows AS (
