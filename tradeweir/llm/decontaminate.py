@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeweir.llm.common import hash128, id_and_text, passes, stored
@@ -128,11 +128,49 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, small_bytes: int = SMALL_BYTES
 ) -> DataFrame:
     """One row per document row: its words, hit words, and the benchmark items that occur in it."""
+    windows, small = _windows(benchmark, span, gram, small_bytes)
+    way = _by_broadcast if small else _by_join
+    return way(id_and_text(docs), windows, gram)
+
+
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, small_bytes: int = SMALL_BYTES
+) -> DataFrame:
+    """Rows of ``docs``, all columns, without those that hold a window of the benchmark."""
+    windows, small = _windows(benchmark, span, gram, small_bytes)
+    if small:
+        table = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in windows.collect()])
+        at = docs.columns.index("text")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(table.value)
+            for batch in passes(batches, f"c{at}"):
+                words = words_of(batch.column(at))
+                clean = np.ones(len(batch), bool)
+                for start, _, _ in matcher.hits(words, gram):
+                    clean[np.searchsorted(words.first, start, side="right") - 1] = False
+                yield batch.filter(pa.array(clean))
+
+        named = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+        return named.mapInArrow(run, named.schema).toDF(*docs.columns)
+    marked = _by_join(id_and_text(docs), windows, gram, keys=True).where("contaminated").select("h1", "h2").distinct()
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own = docs.toDF(*names)
+    id_, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    own = own.withColumns(dict(zip(("k1", "k2"), _row_key(id_.cast("long"), text.cast("string")), strict=True)))
+    kept = own.join(marked, (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")), "left_anti")
+    return kept.select(*names).toDF(*docs.columns)
+
+
+def _windows(benchmark: DataFrame, span: int, gram: int, small_bytes: int) -> tuple[DataFrame, bool]:
+    """Stored windows, and whether all of them together are small."""
     windows = stored(benchmark_windows(benchmark, span, gram), "windows")
     size = windows.agg(F.sum(F.octet_length("window") + F.octet_length(F.coalesce("item_id", F.lit(""))) + 64)).first()
-    if (size[0] or 0) <= small_bytes:
-        return _by_broadcast(id_and_text(docs), windows, gram)
-    return _by_join(id_and_text(docs), windows, gram)
+    return windows, (size[0] or 0) <= small_bytes
+
+
+def _row_key(doc_id: Column, text: Column) -> list[Column]:
+    return hash128(F.coalesce(doc_id.cast("string"), F.lit("null")), F.coalesce(text, F.lit("")))
 
 
 def _by_broadcast(docs: DataFrame, windows: DataFrame, gram: int) -> DataFrame:
@@ -149,10 +187,10 @@ def _by_broadcast(docs: DataFrame, windows: DataFrame, gram: int) -> DataFrame:
     return docs.mapInArrow(run, RESULT_SCHEMA)
 
 
-def _by_join(docs: DataFrame, windows: DataFrame, gram: int) -> DataFrame:
+def _by_join(docs: DataFrame, windows: DataFrame, gram: int, keys: bool = False) -> DataFrame:
     """Fingerprints of both sides meet by a shuffle; hits come back to their documents."""
     lengths = sorted(r[0] for r in windows.select("words").distinct().collect())
-    keyed = docs.select(*hash128(F.coalesce("doc_id", F.lit("null")), F.coalesce("text", F.lit(""))), "doc_id", "text")
+    keyed = docs.select(*_row_key(F.col("doc_id"), F.col("text")), "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in passes(batches):
@@ -183,7 +221,10 @@ def _by_join(docs: DataFrame, windows: DataFrame, gram: int) -> DataFrame:
                 found = batch.column(2)[i].as_py() or []
                 matcher = Matcher([(*list(x.values())[:4], item) for x in found for item in x["items"] or [None]])
                 hits = ((s, n, matcher.items[w]) for s, n, w in matcher.hits(words, gram))
-                yield _report(batch.column(0).slice(i, 1), words, hits)
+                report = _report(batch.column(0).slice(i, 1), words, hits)
+                for k, name in enumerate(("h1", "h2") if keys else ()):
+                    report = report.append_column(name, batch.column(3 + k).slice(i, 1))
+                yield report
 
-    whole = keyed.join(candidates, ["h1", "h2"], "left").select("doc_id", "text", "found")
-    return whole.mapInArrow(verify, RESULT_SCHEMA)
+    whole = keyed.join(candidates, ["h1", "h2"], "left").select("doc_id", "text", "found", "h1", "h2")
+    return whole.mapInArrow(verify, RESULT_SCHEMA + ", h1 long, h2 long" * keys)

@@ -219,7 +219,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Dat
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in passes(batches):
+        for batch in passes(batches, f"c{at}"):
             yield batch.filter(pa.array(model.score(statistics(batch.column(at))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    named = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return named.mapInArrow(run, named.schema).toDF(*docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweir.llm import decontaminate, fixity, packing, quality, scoring, toxicity, urls, vectors
+from tradeweir.llm import decontaminate, fixity, near, packing, quality, scoring, suffixes, toxicity, urls, vectors
 from tradeweir.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,10 +29,18 @@ def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity.audit(records, replica.union(added.select(*replica.columns)))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op6_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
     return quality.classify(read(spark, sf_dir, "documents"), labels)
@@ -57,7 +65,19 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_stupid_backoff, op2_merkle_fixity, op4_winnowing, op6_fourier_quality, op7_grouping_ga, op8_host_words, op9_tiled_vectors, op10_toxicity_chain)
+    f.__name__: f
+    for f in (
+        op1_stupid_backoff,
+        op2_merkle_fixity,
+        op3_order_minhash,
+        op4_winnowing,
+        op5_suffix_merge,
+        op6_fourier_quality,
+        op7_grouping_ga,
+        op8_host_words,
+        op9_tiled_vectors,
+        op10_toxicity_chain,
+    )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
