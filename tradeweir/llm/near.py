@@ -212,10 +212,12 @@ def near_duplicates(
         centre = rest.groupBy("band", "value").agg(F.min("class").alias("a"), F.count("*").alias("n")).where("n > 1")
         more = rest.join(centre, ["band", "value"]).where("class <> a").select("a", F.col("class").alias("b")).distinct()
         more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if more.isEmpty():
+            break
         new = _aligned(more, texts, threshold)
         if new.isEmpty():
             break
-        found, tried = found.union(new), tried.union(more)
+        found, tried = roots.toDF("a", "b").union(new), tried.union(more)
     named = classes.join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     best = named.groupBy("root").agg(F.min("first").alias("best"))
     named = named.join(best, "root").select("h1", "h2", "root", "best")
