@@ -103,7 +103,7 @@ def _runs(docs: DataFrame, window: int) -> DataFrame:
         new = np.ones(len(gone), bool)
         new[1:] = (row[gone][1:] != row[gone][:-1]) | (starts[1:] > ends[:-1])
         head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(gone)) - 1
+        tail = np.append(head[1:], len(gone))[: len(head)] - 1
         at = np.concatenate((keep, keep[scouts], gone[head]))
         none = np.zeros(len(head), np.int64)
         yield pa.RecordBatch.from_arrays(
