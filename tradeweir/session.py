@@ -133,12 +133,15 @@ def require_runtime(spark: SparkSession) -> SparkSession:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    Only when that setting is absent (tests on one machine) is a local folder taken.
+    A local folder is taken only where that setting is absent and the session runs on one machine;
+    executors of a cluster would not see it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise PipelineError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tradeweir-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
