@@ -10,7 +10,7 @@ the Jaccard similarity of shingles that keep their order. The band is exact: out
 
 Texts with the same words are one class, and only one of each is sketched and aligned. In small groups of candidates all
 pairs are aligned. In larger ones every class is aligned with the group's smallest class, in rounds: after each round a
-group goes on with one class for each component that it still holds, until nothing new is found.
+group goes on with one class for each component that it still holds (all pairs if these are few), until nothing new is found.
 With the default parameters a pair at the threshold shares no sketch with a probability of 6e-7.
 
 Defined results: texts without words are never near anything; texts of fewer than five words are one shingle; a null
@@ -210,7 +210,12 @@ def near_duplicates(
         rest = many.select("band", "value", "class").join(roots, F.col("class") == F.col("node"), "left")
         rest = rest.groupBy("band", "value", F.coalesce("root", "class").alias("root")).agg(F.max("class").alias("class"))
         centre = rest.groupBy("band", "value").agg(F.min("class").alias("a"), F.count("*").alias("n")).where("n > 1")
-        more = rest.join(centre, ["band", "value"]).where("class <> a").select("a", F.col("class").alias("b")).distinct()
+        rest = rest.join(centre, ["band", "value"])
+        few = rest.where(F.col("n") <= 4 * small)
+        more = few.select("band", "value", F.col("class").alias("x")).join(few.select("band", "value", "class"), ["band", "value"])
+        more = more.where("x < class").select(F.col("x").alias("a"), F.col("class").alias("b"))
+        star = rest.where((F.col("n") > 4 * small) & (F.col("class") != F.col("a"))).select("a", F.col("class").alias("b"))
+        more = more.union(star).distinct()
         more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
         if more.isEmpty():
             break
