@@ -9,8 +9,10 @@ Similarity is L / (n1 + n2 - L), where L is the longest common subsequence of th
 the Jaccard similarity of shingles that keep their order. The band is exact: outside of it the threshold can't be reached.
 
 Texts with the same words are one class, and only one of each is sketched and aligned. In small groups of candidates all
-pairs are aligned. In larger ones every class is aligned with the group's smallest class, in rounds: after each round a
-group goes on with one class for each component that it still holds (all pairs if these are few), until nothing new is found.
+pairs are aligned. Larger ones are dealt into blocks, each with the group's smallest class as well, and a block aligns
+those of its pairs that no links join yet. What a group then still holds outside of its largest component is
+aligned, block by block, with all other members of the group that are not in the same component. So every pair
+of candidates is either aligned or joined by links: no component is missed.
 With the default parameters a pair at the threshold shares no sketch with a probability of 6e-7.
 
 Defined results: texts without words are never near anything; texts of fewer than five words are one shingle; a null
@@ -35,6 +37,7 @@ THRESHOLD = 0.8
 SKETCHES = 20
 ELL = 3
 SMALL_GROUP = 16
+BLOCK = 32
 _SEEDS = mix(np.arange(1, 1025, dtype=np.uint64))
 
 
@@ -100,6 +103,8 @@ def common_length(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) ->
     where: dict[int, int] = {}
     for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
+    if head + tail + sum(map(where.__contains__, b)) < least - 1e-9:
+        return 0
     full = (1 << len(a)) - 1
     open_ = (1 << (2 * band + 1)) - 1
     row = full
@@ -177,8 +182,75 @@ def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         spark.conf.set(key, before)
 
 
+def _blocks(many: DataFrame, block: int) -> DataFrame:
+    """Members of large groups dealt into blocks by a hash; the group's smallest class is in all of its blocks."""
+    number = F.ceil(F.col("n") / block)
+    own = many.where("class <> least").withColumn("at", F.pmod(F.xxhash64("class"), number))
+    centre = many.where("class = least").withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)))
+    both = own.unionByName(centre).withColumns({"with": F.lit(0).cast("long"), "asks": F.lit(True), "root": F.col("class")})
+    return both.select("band", "value", "at", "with", "class", "root", "asks")
+
+
+def _apart(many: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with their roots, of the large groups that hold several components."""
+    held = many.select("band", "value", "class").join(roots, F.col("class") == F.col("node"), "left")
+    held = held.select("band", "value", "class", F.coalesce("root", "class").alias("root"))
+    parts = held.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("band", "value").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top")
+    )
+    return held.join(parts.where("parts > 1").drop("parts"), ["band", "value"])
+
+
+def _block_pairs(rest: DataFrame, block: int) -> DataFrame:
+    """Every block of members outside of a group's largest component beside every block of the group."""
+    asking = F.ceil((F.col("n") - F.col("top.n")) / block)
+    asked = F.ceil(F.col("n") / block)
+    each = lambda number: F.explode(F.sequence(F.lit(0).cast("long"), number - 1))
+    left = rest.where(F.col("root") != F.col("top.root")).withColumn("at", F.pmod(F.xxhash64("class"), asking))
+    left = left.withColumn("with", each(asked)).withColumn("asks", F.lit(True))
+    right = rest.withColumn("with", F.pmod(F.xxhash64("class"), asked)).withColumn("at", each(asking))
+    right = right.withColumn("asks", F.lit(False))
+    return left.unionByName(right).select("band", "value", "at", "with", "class", "root", "asks")
+
+
+def _linked(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links that join the components of a block; a pair with neither row asking is not looked at."""
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by("class")
+        classes, roots, asks = (block.column(c).to_pylist() for c in ("class", "root", "asks"))
+        lists = [x.values.to_numpy() for x in block.column("shingles")]
+        joined = {r: r for r in roots}
+
+        def top(r: int) -> int:
+            while joined[r] != r:
+                joined[r] = r = joined[joined[r]]
+            return r
+
+        a, b = [], []
+        for i in range(len(classes)):
+            for j in range(i):
+                if not (asks[i] or asks[j]):
+                    continue
+                x, y = top(roots[i]), top(roots[j])
+                if x != y and near(lists[i], lists[j], threshold):
+                    joined[x] = y
+                    a.append(classes[i])
+                    b.append(classes[j])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    whole = rows.join(texts, "class").groupBy("band", "value", "at", "with")
+    return stored(whole.applyInArrow(run, "a long, b long"), "near")
+
+
 def near_duplicates(
-    docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES, ell: int = ELL, small: int = SMALL_GROUP
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    sketches: int = SKETCHES,
+    ell: int = ELL,
+    small: int = SMALL_GROUP,
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per document row: ``class_id`` (smallest doc_id of its class), size of the class, and ``kept``."""
     docs = id_and_text(docs)
@@ -193,8 +265,7 @@ def near_duplicates(
     few = member.where(F.col("n") <= small).select("band", "value", "class")
     pairs = few.select("band", "value", F.col("class").alias("a")).join(few.withColumnRenamed("class", "b"), ["band", "value"])
     many = member.where(F.col("n") > small)
-    pairs = pairs.where("a < b").select("a", "b").union(many.where("class <> least").select(F.col("least").alias("a"), F.col("class").alias("b")))
-    pairs = stored(pairs.distinct(), "pairs")
+    pairs = stored(pairs.where("a < b").select("a", "b").distinct(), "pairs")
 
     used = pairs.select("a").union(pairs.select("b")).union(many.select("class")).distinct().withColumnRenamed("a", "class")
     wanted = classes.join(used, "class", "left_semi").select(F.col("first.doc_id").alias("doc_id"), "class", "h1", "h2")
@@ -202,27 +273,12 @@ def near_duplicates(
     texts = _shingled(own).join(wanted.drop("doc_id"), ["h1", "h2"]).dropDuplicates(["class"]).select("class", "shingles")
     texts = stored(texts, "shingles")
 
-    found = _aligned(pairs, texts, threshold)
-    tried = pairs
-    while True:
-        roots = stored(components(found), "roots")
-        # One class for each component that a large group still holds; the group's smallest is the next centre.
-        rest = many.select("band", "value", "class").join(roots, F.col("class") == F.col("node"), "left")
-        rest = rest.groupBy("band", "value", F.coalesce("root", "class").alias("root")).agg(F.max("class").alias("class"))
-        centre = rest.groupBy("band", "value").agg(F.min("class").alias("a"), F.count("*").alias("n")).where("n > 1")
-        rest = rest.join(centre, ["band", "value"])
-        few = rest.where(F.col("n") <= 4 * small)
-        more = few.select("band", "value", F.col("class").alias("x")).join(few.select("band", "value", "class"), ["band", "value"])
-        more = more.where("x < class").select(F.col("x").alias("a"), F.col("class").alias("b"))
-        star = rest.where((F.col("n") > 4 * small) & (F.col("class") != F.col("a"))).select("a", F.col("class").alias("b"))
-        more = more.union(star).distinct()
-        more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
-            break
-        new = _aligned(more, texts, threshold)
-        if new.isEmpty():
-            break
-        found, tried = roots.toDF("a", "b").union(new), tried.union(more)
+    found = _aligned(pairs, texts, threshold).union(_linked(_blocks(many, block), texts, threshold))
+    roots = stored(components(found), "roots")
+    rest = stored(_apart(many, roots), "apart")
+    if not rest.isEmpty():
+        found = _linked(_block_pairs(rest, block), texts, threshold)
+        roots = stored(components(roots.toDF("a", "b").union(found)), "roots")
     named = classes.join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     best = named.groupBy("root").agg(F.min("first").alias("best"))
     named = named.join(best, "root").select("h1", "h2", "root", "best")
