@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tradeweir.contracts import SILVER_12
 from tradeweir.errors import CopyMismatchError, NullsFoundError, PipelineError
 
-DEFAULT_SHOWN_SYMBOLS = 20
 
 
 def null_counts(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -56,9 +55,12 @@ def symbol_profile(frame: DataFrame) -> DataFrame:
     return frame.groupBy("symbol").agg(F.count("*").alias("row_count"), *nulls)
 
 
-def source_profile(frame: DataFrame, shown_symbols: int = DEFAULT_SHOWN_SYMBOLS) -> SourceProfile:
-    """Nulls, rows and symbols of a Silver-shaped frame from one scan of it."""
-    if shown_symbols <= 0:
+def source_profile(frame: DataFrame, shown_symbols: int | None = None) -> SourceProfile:
+    """Nulls, rows and symbols of a Silver-shaped frame from one scan of it.
+
+    All symbols are listed, or the first ``shown_symbols`` if the caller wants a short report.
+    """
+    if shown_symbols is not None and shown_symbols <= 0:
         raise PipelineError("the number of symbols to show must be positive")
     SILVER_12.require(frame, "profiled frame")
     per_symbol = symbol_profile(frame).persist()  # one row per symbol
@@ -71,7 +73,8 @@ def source_profile(frame: DataFrame, shown_symbols: int = DEFAULT_SHOWN_SYMBOLS)
             F.count("*").alias("symbols"),
             *sums,
         ).first()
-        head = per_symbol.orderBy("symbol").select("symbol", "row_count").limit(shown_symbols)
+        head = per_symbol.orderBy("symbol").select("symbol", "row_count")
+        head = head if shown_symbols is None else head.limit(shown_symbols)
         shown = tuple((r.symbol, r.row_count) for r in head.collect())
     finally:
         per_symbol.unpersist()

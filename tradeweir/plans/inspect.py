@@ -9,8 +9,6 @@ from tradeweir.contracts import check_identifier
 from tradeweir.errors import PipelineError
 from tradeweir.sources.snapshots import history, version_behind
 
-DEFAULT_ROWS = 100
-
 # Metadata tables of an Iceberg table and the order in which they are listed.
 ICEBERG_LISTINGS = {
     "snapshots": "committed_at DESC, snapshot_id DESC",
@@ -20,30 +18,31 @@ ICEBERG_LISTINGS = {
 }
 
 
-def inspection_sql(table: str, max_rows: int = DEFAULT_ROWS) -> dict[str, str]:
+def inspection_sql(table: str, max_rows: int | None = None) -> dict[str, str]:
     """The eleven read-only statements that describe an Iceberg table."""
     check_identifier(table)
-    if max_rows <= 0:
+    if max_rows is not None and max_rows <= 0:
         raise PipelineError("the number of listed rows must be positive")
     statements = {
         "identity": f"DESCRIBE EXTENDED {table}",
         "schema": f"DESCRIBE {table}",
         "row_count": f"SELECT count(*) AS row_count FROM {table}",
     }
+    cut = "" if max_rows is None else f" LIMIT {max_rows}"
     for part, order in ICEBERG_LISTINGS.items():
         # An unpartitioned table lists one row of totals, without a partition column to sort by.
         tail = "" if part == "partitions" else f" ORDER BY {order}"
         statements[f"{part}_count"] = f"SELECT count(*) AS row_count FROM {table}.{part}"
-        statements[part] = f"SELECT * FROM {table}.{part}{tail} LIMIT {max_rows}"
+        statements[part] = f"SELECT * FROM {table}.{part}{tail}{cut}"
     return statements
 
 
 def inspect_table(
-    spark: SparkSession, table: str, fmt: str = "parquet", max_rows: int = DEFAULT_ROWS
+    spark: SparkSession, table: str, fmt: str = "parquet", max_rows: int | None = None
 ) -> dict[str, DataFrame]:
     """Sections in reading order: identity, schema, row count, snapshots, history, files, partitions.
 
-    Listings are cut to ``max_rows``, each next to a section with the full count. Without Iceberg
+    Listings are whole unless ``max_rows`` is given, each next to a section with the full count. Without Iceberg
     the files come from the scan's own metadata and history from the version convention, if used.
     """
     statements = inspection_sql(table, max_rows)
@@ -51,8 +50,8 @@ def inspect_table(
         sections = {name: spark.sql(text) for name, text in statements.items()}
         listed = sections["partitions"]
         if "partition" in listed.columns:
-            sections["partitions"] = (
-                spark.table(f"{table}.partitions").orderBy("partition").limit(max_rows)
+            sections["partitions"] = _first(
+                spark.table(f"{table}.partitions").orderBy("partition"), max_rows
             )
         return sections
     sections = {
@@ -78,10 +77,14 @@ def inspect_table(
         listings["partitions"] = (parts, tuple(F.asc(c) for c in by))
     for name, (frame, order) in listings.items():
         sections[f"{name}_count"] = frame.agg(F.count("*").alias("row_count"))
-        sections[name] = frame.orderBy(*order).limit(max_rows)
+        sections[name] = _first(frame.orderBy(*order), max_rows)
     return sections
 
 
+def _first(frame: DataFrame, max_rows: int | None) -> DataFrame:
+    return frame if max_rows is None else frame.limit(max_rows)
+
+
 def partition_note(spark: SparkSession, table: str) -> str:
     """``partitioned``, ``unpartitioned``, or ``empty`` for a table without rows."""
     check_identifier(table)

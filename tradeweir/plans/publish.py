@@ -24,7 +24,6 @@ from tradeweir.errors import ContractError, PublishError
 from tradeweir.operators.fingerprint import require_same_rows
 from tradeweir.operators.metrics import with_event_month
 from tradeweir.operators.profile import (
-    DEFAULT_SHOWN_SYMBOLS,
     SourceProfile,
     require_same_profile,
     source_profile,
@@ -120,7 +119,7 @@ def load_staging(
     roles: TableRoles,
     *,
     fmt: str = "parquet",
-    shown_symbols: int = DEFAULT_SHOWN_SYMBOLS,
+    shown_symbols: int | None = None,
 ) -> LoadReport:
     """Copy the current source snapshot, resolved once, behind ``staging``.
 
@@ -137,7 +136,7 @@ def checked_source(
     source: str,
     roles: TableRoles,
     fmt: str = "parquet",
-    shown_symbols: int = DEFAULT_SHOWN_SYMBOLS,
+    shown_symbols: int | None = None,
 ) -> tuple[int, DataFrame, SourceProfile]:
     """Id, rows and profile of the current source snapshot, which has no nulls."""
     roles.require("silver", source)

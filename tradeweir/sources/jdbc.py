@@ -87,13 +87,13 @@ def _write(
     *,
     truncate: bool = False,
     batch_rows: int = 50_000,
-    connections: int = 16,
+    connections: int | None = None,
 ) -> None:
     SILVER_12.require_names(silver, "JDBC input")
     options = {
         **jdbc_options(target, table),
         "batchsize": str(batch_rows),
-        "numPartitions": str(connections),
+        **({} if connections is None else {"numPartitions": str(connections)}),
         "truncate": str(truncate).lower(),
     }
     silver.write.format("jdbc").options(**options).mode(mode).save()

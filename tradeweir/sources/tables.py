@@ -6,16 +6,5 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return widen(spark.read.parquet(path))
-
-
-def widen(frame: DataFrame) -> DataFrame:
-    """Spread a scan over all cores if it has fewer splits than there are cores.
-
-    A file of one row group cannot be split, and the work that follows would run in one task. Large
-    tables have more splits than cores and are returned as they are, without a shuffle.
-    """
-    if frame.isStreaming:
-        return frame
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+    """A plain scan; how many splits it has is up to ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(path)
