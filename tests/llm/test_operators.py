@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,34 @@ def test_large_group_of_candidates(spark):
     assert {r.class_id for r in got.collect()} == {0}
 
 
+def test_large_groups_lose_no_component(spark):
+    """Copies at all distances from a few texts, against all pairs; blocks far smaller than the groups."""
+    texts = []
+    for kind in range(3):
+        own = prose(20 + kind, 120).split()
+        for i in range(36):
+            if i % 12 == 0:
+                own = list(own)
+            edited = list(own)
+            for k in range(i % 6):
+                edited[(i * 7 + k * 19) % 120] = f"x{i}y{k}"
+            own[(i * 11) % 120] = f"drift{i}"
+            texts.append(" ".join(edited))
+    words = near.words_of(pa.array(texts))
+    own, first = near.shingles(words)
+    lists = [(own[a:b] >> np.uint64(33)).astype(np.int32) for a, b in zip(first[:-1], first[1:], strict=True)]
+    least = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if least[i] != least[j] and near.near(lists[i], lists[j]):
+                low, high = sorted((least[i], least[j]))
+                least = [low if x == high else x for x in least]
+    assert len(set(least)) > 3
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(frame, small=2, block=3).collect()}
+    assert got == dict(enumerate(least))
+
+
 def test_alignment_is_exact():
     draw = random.Random(3)
     for _ in range(200):
