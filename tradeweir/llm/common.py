@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from tradeweir.session import scratch_folder
 
 # Texts of one numpy pass; a longer single text is a pass of its own.
 PASS_BYTES = 2 << 20
+# Edges of which one task finds the components by itself.
+PIECE_EDGES = 1 << 20
 
 
 def passes(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
@@ -53,15 +56,14 @@ def hash128(*columns: Column) -> list[Column]:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components by alternating large-star and small-star steps.
+    """Connected components: pieces of the edges shrink to stars by themselves, then star steps join the pieces.
 
     ``edges`` has two long columns ``a`` and ``b``. Returns ``node`` and ``root`` (the smallest node
-    of the component) for every node that has an edge to another. Stars are found with a grouped
-    minimum that is joined back, so that no neighbourhood is ever gathered in one row.
+    of the component) for every node that has an edge to another. The steps between pieces are alternating
+    large-star and small-star steps; stars are found with a grouped minimum that is joined
+    back, so that no neighbourhood is ever gathered in one row.
     """
-    now = stored(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
-    )
+    now = stored(_shrunk(edges.where("a <> b").select("a", "b")), "edges")
     while not _only_stars(now):
         # a > b in every edge. Large star: neighbours above a node go to its smallest neighbour.
         both = now.union(now.select("b", "a"))
@@ -71,17 +73,47 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: a node and its neighbours below go to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low)
-        now = stored(small.where("a <> b").distinct(), "edges")
-    roots = now.groupBy("b").count().select(F.col("b").alias("node"), F.col("b").alias("root"))
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+        now = stored(_shrunk(stored(_shrunk(small.where("a <> b")), "edges")), "edges")
+    roots = now.select(F.col("b").alias("node"), F.col("b").alias("root"))
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots).distinct()
 
 
 def _only_stars(edges: DataFrame) -> bool:
-    """Does every node have one edge at most to a smaller node, and those nodes none?"""
-    upper = edges.groupBy("a").count()
-    branching = upper.where("count > 1").select("a")
-    inner = edges.select(F.col("b").alias("a")).join(upper, "a", "left_semi")
-    return branching.union(inner).isEmpty()
+    """Has every node one neighbour below it at most, and that one none?"""
+    below = edges.select("a", "b", F.lit(False).alias("top"))
+    ends = below.union(edges.select("b", F.lit(None).cast("long"), F.lit(True)))
+    seen = ends.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"), F.max("top").alias("top"))
+    return seen.where("low <> high OR (top AND low IS NOT NULL)").isEmpty()
+
+
+def _shrunk(edges: DataFrame, piece: int = PIECE_EDGES) -> DataFrame:
+    """Edges (a, b), a > b, from each node to the smallest it is connected with by its piece of the edges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= piece:
+                yield stars(held)
+                held = []
+        if held:
+            yield stars(held)
+
+    def stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        ends = [table.column(i).to_numpy() for i in (0, 1)]
+        nodes, at = np.unique(np.concatenate(ends), return_inverse=True)
+        a, b = at[: len(ends[0])], at[len(ends[0]) :]
+        root = np.arange(len(nodes))
+        while (apart := root[a] != root[b]).any():
+            x, y = root[a[apart]], root[b[apart]]
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            while (root[root] != root).any():
+                root = root[root]
+        moved = root != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[root[moved]])], ["a", "b"])
+
+    return edges.mapInArrow(run, "a long, b long")
 
 
 _shipped: set[str] = set()

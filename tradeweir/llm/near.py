@@ -10,8 +10,11 @@ the Jaccard similarity of shingles that keep their order. The band is exact: out
 
 Texts with the same words are one class, and only one of each is sketched and aligned. In small groups of candidates all
 pairs are aligned. Larger ones are dealt into blocks, each with the group's smallest class as well, and a block aligns
-those of its pairs that no links join yet. What a group then still holds outside of its largest component is
-aligned, block by block, with all other members of the group that are not in the same component. So every pair
+those of its pairs that no links join yet. Groups that then still hold several components (texts that share a common
+passage, say) are regrouped by single labelled shingles: of a text of n shingles, those n - ceil(threshold n) + 1 that
+are rarest by a histogram of fixed size. Similar texts share one of them, so nothing is lost, and a common
+passage groups nothing any more. The new groups are treated as before, and what one of them still holds outside of its
+largest component is aligned, block by block, with all its members of other components. So every pair
 of candidates is either aligned or joined by links: no component is missed.
 With the default parameters a pair at the threshold shares no sketch with a probability of 6e-7.
 
@@ -37,7 +40,9 @@ THRESHOLD = 0.8
 SKETCHES = 20
 ELL = 3
 SMALL_GROUP = 16
+STAR_BLOCK = 8
 BLOCK = 32
+HISTOGRAM_BITS = 20  # 8 MB, whatever the number of texts
 _SEEDS = mix(np.arange(1, 1025, dtype=np.uint64))
 
 
@@ -56,20 +61,25 @@ def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
     return out, first
 
 
-def sketch(own: np.ndarray, sketches: int, ell: int) -> np.ndarray:
-    """Order MinHash of one document's shingles."""
+def labelled(own: np.ndarray) -> np.ndarray:
+    """Hashes of one document's shingles with their occurrence numbers."""
     order = np.argsort(own, kind="stable")
     ranked = own[order]
     begins = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
     occurrence = np.empty(len(own), np.uint64)
     occurrence[order] = np.arange(len(own)) - np.repeat(begins, np.diff(begins, append=len(own)))
-    labelled = mix(own + mix(occurrence))
-    value = mix(labelled[None, :] ^ _SEEDS[:sketches, None])
+    return mix(own + mix(occurrence))
+
+
+def sketch(own: np.ndarray, sketches: int, ell: int) -> np.ndarray:
+    """Order MinHash of one document's shingles."""
+    marks = labelled(own)
+    value = mix(marks[None, :] ^ _SEEDS[:sketches, None])
     ell = min(ell, len(own))
     least = np.sort(np.argpartition(value, ell - 1, axis=1)[:, :ell], axis=1)
     out = np.arange(sketches, dtype=np.uint64)
     for i in range(ell):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + labelled[least[:, i]])
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + marks[least[:, i]])
     return out
 
 
@@ -187,14 +197,14 @@ def _blocks(many: DataFrame, block: int) -> DataFrame:
     number = F.ceil(F.col("n") / block)
     own = many.where("class <> least").withColumn("at", F.pmod(F.xxhash64("class"), number))
     centre = many.where("class = least").withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)))
-    both = own.unionByName(centre).withColumns({"with": F.lit(0).cast("long"), "asks": F.lit(True), "root": F.col("class")})
+    both = own.unionByName(centre).withColumns({"with": F.lit(0).cast("long"), "asks": F.lit(True)})
     return both.select("band", "value", "at", "with", "class", "root", "asks")
 
 
 def _apart(many: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their roots, of the large groups that hold several components."""
-    held = many.select("band", "value", "class").join(roots, F.col("class") == F.col("node"), "left")
-    held = held.select("band", "value", "class", F.coalesce("root", "class").alias("root"))
+    held = many.select("band", "value", "least", "class").join(roots, F.col("class") == F.col("node"), "left")
+    held = held.select("band", "value", "least", "class", F.coalesce("root", "class").alias("root"))
     parts = held.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
     parts = parts.groupBy("band", "value").agg(
         F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top")
@@ -202,6 +212,56 @@ def _apart(many: DataFrame, roots: DataFrame) -> DataFrame:
     return held.join(parts.where("parts > 1").drop("parts"), ["band", "value"])
 
 
+def _histogram(texts: DataFrame) -> np.ndarray:
+    """How many labelled shingles of the texts have each of 2 ** HISTOGRAM_BITS leading bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << HISTOGRAM_BITS, np.int64)
+        for batch in batches:
+            for one in batch.column(0):
+                total += np.bincount(_cells(labelled(one.values.to_numpy().astype(np.uint64))), minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["cell", "n"])
+
+    cells = texts.select("shingles").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << HISTOGRAM_BITS, np.int64)
+    out[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    return out
+
+
+def _cells(marks: np.ndarray) -> np.ndarray:
+    return (marks >> np.uint64(64 - HISTOGRAM_BITS)).astype(np.int64)
+
+
+def _rarest(texts: DataFrame, threshold: float) -> DataFrame:
+    """The labelled shingles of a text of which similar texts share one, as ``value``; any order would do, rare ones are best."""
+    counts = texts.sparkSession.sparkContext.broadcast(_histogram(texts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rare = []
+            for one in batch.column(2):
+                marks = labelled(one.values.to_numpy().astype(np.uint64))
+                wanted = len(marks) - int(np.ceil(threshold * len(marks) - 1e-9)) + 1
+                rare.append(marks[np.lexsort((marks, counts.value[_cells(marks)]))[:wanted]].view(np.int64))
+            at = pa.array(np.repeat(np.arange(len(batch)), [len(x) for x in rare]))
+            values = pa.array(np.concatenate(rare) if rare else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), values], ["class", "root", "value"])
+
+    return texts.select("class", "root", "shingles").mapInArrow(run, "class long, root long, value long")
+
+
+def _regrouped(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Members of groups by a rare shingle, without groups of one component."""
+    chosen = stored(texts.join(rest.select("class", "root").distinct(), "class"), "apart-shingles")
+    rare = stored(_rarest(chosen, threshold), "rarest")
+    groups = rare.groupBy("value").agg(
+        F.count("*").alias("n"), F.min("class").alias("least"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    groups = groups.where("low < high").select("value", "n", "least")
+    return stored(rare.join(groups, "value").withColumn("band", F.lit(0)), "members")
+
+
 def _block_pairs(rest: DataFrame, block: int) -> DataFrame:
     """Every block of members outside of a group's largest component beside every block of the group."""
     asking = F.ceil((F.col("n") - F.col("top.n")) / block)
@@ -244,12 +304,21 @@ def _linked(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return stored(whole.applyInArrow(run, "a long, b long"), "near")
 
 
+def _divided(member: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of different components in small groups, and the members of the larger groups."""
+    few = member.where(F.col("n") <= small).select("band", "value", "class", "root")
+    other = few.select("band", "value", F.col("class").alias("b"), F.col("root").alias("root_b"))
+    pairs = few.withColumnRenamed("class", "a").join(other, ["band", "value"]).where("a < b AND root <> root_b")
+    return stored(pairs.select("a", "b").distinct(), "pairs"), member.where(F.col("n") > small)
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = THRESHOLD,
     sketches: int = SKETCHES,
     ell: int = ELL,
     small: int = SMALL_GROUP,
+    star: int = STAR_BLOCK,
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per document row: ``class_id`` (smallest doc_id of its class), size of the class, and ``kept``."""
@@ -262,10 +331,7 @@ def near_duplicates(
     member = classes.select("class", F.posexplode("sketches").alias("band", "value"))
     groups = member.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("class").alias("least")).where("n > 1")
     member = stored(member.join(groups, ["band", "value"]), "members")
-    few = member.where(F.col("n") <= small).select("band", "value", "class")
-    pairs = few.select("band", "value", F.col("class").alias("a")).join(few.withColumnRenamed("class", "b"), ["band", "value"])
-    many = member.where(F.col("n") > small)
-    pairs = stored(pairs.where("a < b").select("a", "b").distinct(), "pairs")
+    pairs, many = _divided(member.withColumn("root", F.col("class")), small)
 
     used = pairs.select("a").union(pairs.select("b")).union(many.select("class")).distinct().withColumnRenamed("a", "class")
     wanted = classes.join(used, "class", "left_semi").select(F.col("first.doc_id").alias("doc_id"), "class", "h1", "h2")
@@ -273,9 +339,14 @@ def near_duplicates(
     texts = _shingled(own).join(wanted.drop("doc_id"), ["h1", "h2"]).dropDuplicates(["class"]).select("class", "shingles")
     texts = stored(texts, "shingles")
 
-    found = _aligned(pairs, texts, threshold).union(_linked(_blocks(many, block), texts, threshold))
+    found = _aligned(pairs, texts, threshold).union(_linked(_blocks(many, star), texts, threshold))
     roots = stored(components(found), "roots")
     rest = stored(_apart(many, roots), "apart")
+    if not rest.isEmpty():
+        pairs, many = _divided(_regrouped(rest, texts, threshold), small)
+        found = _aligned(pairs, texts, threshold).union(_linked(_blocks(many, star), texts, threshold))
+        roots = stored(components(roots.toDF("a", "b").union(found)), "roots")
+        rest = stored(_apart(many, roots), "apart")
     if not rest.isEmpty():
         found = _linked(_block_pairs(rest, block), texts, threshold)
         roots = stored(components(roots.toDF("a", "b").union(found)), "roots")
