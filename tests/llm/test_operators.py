@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +125,26 @@ def test_large_groups_lose_no_component(spark):
     assert got == dict(enumerate(least))
 
 
+def test_overlaps_count_repeats():
+    draw = random.Random(8)
+    lists = [np.array([draw.randrange(9) for _ in range(draw.randrange(1, 40))], np.int32) for _ in range(12)]
+    got = near.overlaps(lists, piece=7)
+    for i, x in enumerate(lists):
+        for j, y in enumerate(lists):
+            assert got[i, j] == (Counter(x.tolist()) & Counter(y.tolist())).total()
+            assert near.common_length(x, y) <= got[i, j]
+
+
+def test_texts_with_a_common_passage_stay_apart(spark):
+    """Candidates by a long shared passage are regrouped by rare shingles; only real near copies are found."""
+    passage = prose(7, 60)
+    texts = [f"{prose(100 + i, 30)} {passage} {prose(300 + i, 30)}" for i in range(60)]
+    texts += [t + " tail" for t in texts[:9]] + [f"{passage} end{i}" for i in range(20)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(frame, small=2, star=3, block=4).collect()}
+    assert got == {i: i if i < 60 else i - 60 if i < 69 else 69 for i in range(89)}
+
+
 def test_alignment_is_exact():
     draw = random.Random(3)
     for _ in range(200):

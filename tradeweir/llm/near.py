@@ -40,8 +40,8 @@ THRESHOLD = 0.8
 SKETCHES = 20
 ELL = 3
 SMALL_GROUP = 16
-STAR_BLOCK = 8
-BLOCK = 32
+STAR_BLOCK = 32
+BLOCK = 128
 HISTOGRAM_BITS = 20  # 8 MB, whatever the number of texts
 _SEEDS = mix(np.arange(1, 1025, dtype=np.uint64))
 
@@ -132,6 +132,22 @@ def near(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     return n > 0 and n >= threshold * (len(a) + len(b) - n) - 1e-9
 
 
+def overlaps(lists: list[np.ndarray], piece: int = 1 << 14) -> np.ndarray:
+    """Labelled shingles that each two documents share, in whatever order: no alignment can be longer."""
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    marks = [labelled(x.astype(np.uint64)) for x in lists]
+    names, at = np.unique(np.concatenate(marks) if marks else np.zeros(0, np.uint64), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    shared = np.zeros((len(lists), len(lists)), np.float32)
+    for start in range(0, len(names), piece):
+        low, high = np.searchsorted(at, (start, start + piece))
+        has = np.zeros((len(lists), min(piece, len(names) - start)), np.float32)
+        has[owner[low:high], at[low:high] - start] = 1
+        shared += has @ has.T
+    return shared
+
+
 def _sketched(docs: DataFrame, sketches: int, ell: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in passes(batches):
@@ -288,16 +304,17 @@ def _linked(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 joined[r] = r = joined[joined[r]]
             return r
 
+        size = np.array([len(x) for x in lists])
+        least = threshold / (1 + threshold) * (size[:, None] + size[None, :]) - 1e-9
+        asking = np.array(asks, bool)
+        possible = (overlaps(lists) >= least) & (asking[:, None] | asking[None, :])
         a, b = [], []
-        for i in range(len(classes)):
-            for j in range(i):
-                if not (asks[i] or asks[j]):
-                    continue
-                x, y = top(roots[i]), top(roots[j])
-                if x != y and near(lists[i], lists[j], threshold):
-                    joined[x] = y
-                    a.append(classes[i])
-                    b.append(classes[j])
+        for i, j in np.argwhere(np.tril(possible, -1)).tolist():
+            x, y = top(roots[i]), top(roots[j])
+            if x != y and near(lists[i], lists[j], threshold):
+                joined[x] = y
+                a.append(classes[i])
+                b.append(classes[j])
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     whole = rows.join(texts, "class").groupBy("band", "value", "at", "with")
