@@ -272,6 +272,22 @@ def test_quality_and_toxicity(spark, docs, empty):
     assert toxicity.predict(docs, labels.limit(0).withColumnRenamed("toxic", "t"), ["t"]).where("toxic = 1").count() == 0
 
 
+def test_rare_toxic_words_are_kept_beside_many_junk_words(spark):
+    """5,400 features of junk words, all better by their z, take no places from the words that make texts toxic."""
+    draw = random.Random(11)
+    name = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    junk, vile, data = [name() for _ in range(1800)], [name() for _ in range(54)], []
+    for i in range(900):
+        own = [junk[(i // 10 * 240 + k) % 1800] for k in range(240)] if i % 10 == 0 else [prose(3000 + i, 20)]
+        data.append((i, " ".join([*own, *(vile[(i // 10 * 3 + k) % 54] for k in range(3) if i % 10 == 5)]), int(i % 10 == 0), int(i % 10 == 5)))
+    frame = spark.createDataFrame(data, "doc_id long, text string, junk int, bad int")
+    chain = toxicity.fit(frame.select("doc_id", "text"), frame.drop("text"), ["junk", "bad"])
+    learned = Counter(w for i, text, _, bad in data if bad and zlib.crc32(str(i).encode()) % 3 != 1 for w in text.split()[-3:])
+    often = [w for w in vile if learned[w] >= 3]
+    assert len(often) > 20 and len(chain.kept) > 4096
+    assert set(toxicity.features(pa.array(often))[1].tolist()) <= set(chain.kept.tolist())
+
+
 def test_urls(spark):
     texts = spark.createDataFrame([("casino win big free cheap flower garden",)] * 50, "text string")
     urls_ = ["http://a.example.com/en/1", "http://WWW.example.com/en/1?x", "https://b.net/fr/", None, "nothing", "http://casinowin.org/a", "http://flowergarden.org/a/b#c", "http://x.com"]

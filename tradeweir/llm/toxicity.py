@@ -31,13 +31,12 @@ from tradeweir.llm.common import id_and_text, passes
 from tradeweir.llm.quality import bounded, held_out
 from tradeweir.llm.words import hash_runs, mix, words_of
 
-MAX_ROWS = 16_000
-MAX_FEATURES = 4096
+MAX_ROWS = 40_000
 MIN_TEXTS = 3
 MIN_Z = 4.5
 FOLDS = 3
 L2 = 0.005
-STEPS = 120
+STEPS = 300
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -162,8 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows: int
             chance = F.sqrt(rate * (1 - rate) * F.lit(1 / n1 + 1 / n0)) + 1e-9
             enough = F.when(a + b >= MIN_TEXTS, F.abs(a / n1 - b / n0) / chance).otherwise(0.0)
             z = F.greatest(z, enough)
-    best = counts.select("feature", z.alias("z")).where(F.col("z") > MIN_Z).orderBy(F.desc("z"), "feature")
-    kept = np.sort(np.array([r[0] for r in best.limit(MAX_FEATURES).collect()], np.int64))
+    # Every feature that passes: rare words of one category are never crowded out by another's.
+    kept = np.sort(np.array([r[0] for r in counts.select("feature").where(z > MIN_Z).collect()], np.int64))
     chain = Chain(kept, [])
 
     def slim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
