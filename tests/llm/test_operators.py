@@ -288,6 +288,22 @@ def test_rare_toxic_words_are_kept_beside_many_junk_words(spark):
     assert set(toxicity.features(pa.array(often))[1].tolist()) <= set(chain.kept.tolist())
 
 
+def test_a_model_is_fitted_alike_in_blocks(monkeypatch):
+    """A task fits one model, out of blocks of rows; earlier categories come from models that did not see the row."""
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(0, 40, 300)
+    column, y = rng.integers(0, 200, sizes.sum()).astype(np.int32), (rng.random(300) < 0.3).astype(float)
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    rows = toxicity.pd.DataFrame({"doc_id": range(300), "fold": rng.integers(0, 3, 300), "bad": y})
+    rows["columns"] = [column[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    earlier = [[rng.normal(size=201) for _ in range(3)]]
+    whole = toxicity.train(rows, "bad", earlier, 200)
+    monkeypatch.setattr(toxicity, "BLOCK", 500)
+    assert np.allclose(toxicity.train(rows, "bad", earlier, 200), whole, atol=1e-3)
+    unseen = [toxicity.probability(earlier[0][f][c].sum() + earlier[0][f][200]) for f, c in ((f, column[a:b]) for f, a, b in zip(rows["fold"], ends[:-1], ends[1:], strict=True))]
+    assert np.allclose(toxicity.logistic(sizes, column, 200, np.array(unseen)[:, None], y), whole, atol=1e-3)
+
+
 def test_urls(spark):
     texts = spark.createDataFrame([("casino win big free cheap flower garden",)] * 50, "text string")
     urls_ = ["http://a.example.com/en/1", "http://WWW.example.com/en/1?x", "https://b.net/fr/", None, "nothing", "http://casinowin.org/a", "http://flowergarden.org/a/b#c", "http://x.com"]

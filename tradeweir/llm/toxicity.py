@@ -18,16 +18,16 @@ without labels).
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeweir.llm.common import id_and_text, passes
+from tradeweir.llm.common import id_and_text, passes, stored
 from tradeweir.llm.quality import bounded, held_out
 from tradeweir.llm.words import hash_runs, mix, words_of
 
@@ -37,6 +37,7 @@ MIN_Z = 4.5
 FOLDS = 3
 L2 = 0.005
 STEPS = 300
+BLOCK = 1 << 19  # features of one numpy pass of the fit
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -56,19 +57,28 @@ def probability(logit: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
 
 
-def logistic(row: np.ndarray, column: np.ndarray, width: int, extra: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of a logistic regression on a sparse 0/1 matrix with dense columns and a constant beside it."""
+def logistic(sizes: np.ndarray, column: np.ndarray, width: int, extra: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression on a sparse 0/1 matrix, row by row, with dense columns and a constant beside it."""
     n = len(y)
     dense = np.column_stack([extra, np.ones(n)])
     w = np.zeros(width + dense.shape[1])
     base = np.clip(y.mean(), 1e-4, 1 - 1e-4)
     w[-1] = np.log(base / (1 - base))
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + BLOCK, BLOCK)).clip(0, n))
+    cuts = np.unique(np.concatenate(([0], cuts, [n])))
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        logit = np.bincount(row, weights=w[column], minlength=n) + dense @ w[width:]
-        error = probability(logit) - y
-        grad = np.concatenate([np.bincount(column, weights=error[row], minlength=width), error @ dense]) + L2 * w
-        grad[-1] -= L2 * w[-1]
+        grad = L2 * w
+        grad[-1] = 0
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            own, full = column[ends[a] : ends[b]], np.flatnonzero(sizes[a:b])
+            logit = dense[a:b] @ w[width:]
+            if len(full):
+                logit[full] += np.add.reduceat(w[own], ends[a:b][full] - ends[a])
+            error = probability(logit) - y[a:b]
+            grad[:width] += np.bincount(own, weights=np.repeat(error, sizes[a:b]), minlength=width)
+            grad[width:] += error @ dense[a:b]
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
         rate = 0.3 / (1 + 4 * step / STEPS)
         w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
@@ -101,33 +111,36 @@ def linear(w: np.ndarray, row: np.ndarray, column: np.ndarray, width: int, extra
     return probability(words + extra @ w[width:-1] + w[-1])
 
 
-def train(rows: pd.DataFrame, categories: list[str], kept: np.ndarray) -> Chain:
-    """``rows``: fold, kept feature columns as lists, and a column for each category."""
-    rows = rows.sort_values("doc_id")
-    lists = [np.asarray(x, np.int64) for x in rows["columns"]]
-    row = np.repeat(np.arange(len(rows)), [len(x) for x in lists])
-    column = np.concatenate([*lists, np.zeros(0, np.int64)])
-    fold, width = rows["fold"].to_numpy(), len(kept)
-    before, models = np.zeros((len(rows), 0)), []
-    for name in categories:
-        y = rows[name].to_numpy(float)
-
-        def model(use: np.ndarray, y=y, before=before) -> np.ndarray:
-            use = use & ~np.isnan(y)
-            number = np.cumsum(use) - 1
-            own = use[row]
-            if use.any() and 0 < y[use].mean() < 1:
-                return logistic(number[row[own]], column[own], width, before[use], y[use])
-            w = np.zeros(width + before.shape[1] + 1)
-            w[-1] = 35 if use.any() and y[use].mean() == 1 else -35
-            return w
+def train(rows: pd.DataFrame, name: str, earlier: list[list[np.ndarray]], width: int) -> np.ndarray:
+    """A model of category ``name``. ``rows``: fold, kept feature columns as bytes, and a column for each category.
 
+    ``earlier`` has the models of each category before, one for each fold, made without that fold's rows.
+    """
+    rows = rows.sort_values("doc_id")
+    column = np.frombuffer(b"".join(rows["columns"]), np.int32)
+    sizes = rows["columns"].map(len).to_numpy() // 4
+    y, fold = rows[name].to_numpy(float), rows["fold"].to_numpy()
+    if not 0 < y.mean() < 1:
+        return constant(y.mean() == 1, width + len(earlier))
+    before, row = np.zeros((len(rows), 0)), np.repeat(np.arange(len(rows)), sizes)
+    for models in earlier:
         unseen = np.zeros(len(rows))
-        for k in range(FOLDS):
-            unseen = np.where(fold == k, linear(model(fold != k), row, column, width, before), unseen)
-        models.append(model(np.ones(len(rows), bool)))
+        for k, w in enumerate(models):
+            unseen = np.where(fold == k, linear(w, row, column, width, before), unseen)
         before = np.column_stack([before, unseen])
-    return Chain(kept, models)
+    del row
+    return logistic(sizes, column, width, before, y)
+
+
+def _trainer(name: str, shared: Broadcast, width: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def task(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": [rows["k"].iloc[0]], "w": [train(rows, name, shared.value, width).tobytes()]})
+
+    return task
+
+
+def constant(one: bool, width: int) -> np.ndarray:
+    return np.array([0.0] * width + [35.0 if one else -35.0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows: int = MAX_ROWS) -> Chain:
@@ -168,20 +181,27 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows: int
     def slim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in passes(batches):
             row, column = chain.columns(*features(batch.column(1)))
-            order = np.argsort(row, kind="stable")
+            order = np.lexsort((column, row))
             ends = np.searchsorted(row[order], np.arange(len(batch) + 1))
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(column[order]))
+            column = column[order].astype(np.int32)
+            lists = pa.array([column[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, *batch.columns[2:]], ["doc_id", "columns", *categories])
 
-    slimmed = sample.mapInArrow(slim, f"doc_id long, columns array<long>, {names}")
-    slimmed = slimmed.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(FOLDS)))
-
-    def task(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"chain": [pickle.dumps(train(rows, categories, kept).models)]})
-
-    trained = slimmed.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(task, "chain binary").collect()
-    models = pickle.loads(trained[0][0]) if trained else [np.array([0.0] * (len(kept) + i) + [-35.0]) for i in range(len(categories))]
-    return Chain(kept, models)
+    slimmed = sample.mapInArrow(slim, f"doc_id long, columns binary, {names}")
+    slimmed = stored(slimmed.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(FOLDS)).cast("int")), "slim")
+    # A task for each model of a category: without fold k, and with all rows (k = FOLDS).
+    every = slimmed.withColumn("k", F.explode(F.array(*map(F.lit, range(FOLDS + 1))))).where("k <> fold")
+    earlier: list[list[np.ndarray]] = []
+    for i, name in enumerate(categories):
+        shared = docs.sparkSession.sparkContext.broadcast(earlier)
+        # More ranges than models, or the sampled bounds put two models in one.
+        own = every.where(F.col(name).isNotNull()).repartitionByRange(8 * (FOLDS + 1), "k").groupBy("k")
+        own = own.applyInPandas(_trainer(name, shared, len(kept)), "k int, w binary")
+        found = {r.k: np.frombuffer(r.w) for r in own.collect()}
+        models = [found.get(k, constant(False, len(kept) + i)) for k in range(FOLDS + 1)]
+        chain.models.append(models[FOLDS])
+        earlier = [*earlier, models[:FOLDS]]
+    return chain
 
 
 def score(docs: DataFrame, chain: Chain, categories: list[str]) -> DataFrame:
