@@ -209,6 +209,21 @@ def test_repeats_with_a_crowded_line(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()} == brute_repeats(texts)
 
 
+def test_repeats_at_a_hot_anchor_are_dealt_out(spark, monkeypatch):
+    """No task merges more suffixes of one anchor than HOT, and windows across its edges are still found."""
+    monkeypatch.setattr(suffixes, "HOT", 8)
+    merged, line = [], prose(9, 40)
+    whole = suffixes._suffix_runs
+    monkeypatch.setattr(suffixes, "_suffix_runs", lambda joined, *a: merged.append(joined) or whole(joined, *a))
+    texts = [(i, prose(70 + i, 12) + line + prose(500 + i // 2, 12) + ("" if i % 3 else line[:130])) for i in range(40)]
+    frame = spark.createDataFrame([*texts, texts[5]], "doc_id long, text string").repartition(5)
+    got = suffixes.remove_repeats(frame)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()} == brute_repeats(texts)
+    places = [r["first"] for x in merged[0].collect() for r in x.rows or () if not r["hot"]]
+    hot = [r for x in merged[0].collect() for r in x.rows or () if r["hot"]]
+    assert len(hot) > 8 and len(places) < len(hot) + len(places)
+
+
 def test_loser_tree_sorts_and_knows_prefixes():
     draw = random.Random(4)
     runs, everything, base = [], [], 0

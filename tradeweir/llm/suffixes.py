@@ -12,8 +12,10 @@ at equal distances, and only suffixes at anchors are needed.
    loser tree that carries common prefix lengths and never compares a known prefix again.
 3. From the common prefixes of neighbours to the right of the anchor, and those to its left, windows of a range
    fall into classes of equal strings; all but the earliest of a class are repeats.
+4. Where more than ``HOT`` candidates share their 24 bytes, 2 and 3 are left out: each of their windows meets
+   its equals by the MD5 of its own bytes.
 
-Anchors only leave out what can't repeat: every decision in 2 and 3 is on bytes, that in 1 on 128 bits of hash. Runs
+Anchors only leave out what can't repeat: every decision in 2 and 3 is on bytes, those in 1 and 4 on 128 bits of hash. Runs
 repeated within one pass of a task are settled there, so that a group of copies sends a row per pass; 24 bytes with
 many different surroundings in a pass are dealt out further.
 
@@ -43,6 +45,7 @@ WINDOW = 100
 PASS = 4 << 20
 CROWD = 64  # different surroundings of 24 bytes in a pass from which on they are dealt out further
 RANGE = 30_000  # suffixes that one task merges
+HOT = 30_000  # candidates with equal 24 bytes from which on their windows meet one by one
 _NULL_ID = -(1 << 63)
 _RUN = "deal long, gram long, context long, d long, th long, first long, last int, place int, kind int"
 
@@ -133,7 +136,7 @@ def _parts(data: np.ndarray, bounds: np.ndarray, window: int) -> Iterator[tuple]
 
 
 def _met(runs: DataFrame, window: int) -> DataFrame:
-    """Rows (d, th, kind, first, last, place): kind 1 repeated bytes, kind 0 candidates."""
+    """Rows (d, th, kind, first, last, place, gram): kind 1 repeated bytes, kind 0 candidates."""
 
     def judge(frame: pa.Table) -> pa.Table:
         gram, context, d, first, last, kind = (
@@ -152,15 +155,15 @@ def _met(runs: DataFrame, window: int) -> DataFrame:
         is_later = later[later | shared]
         out = frame.take(pa.array(use))
         length = np.where(is_later, last[use] + window, last[use]).astype(np.int32)
-        columns = [out.column("d"), out.column("th"), pa.array(is_later.astype(np.int32)), out.column("first"), pa.array(length), out.column("place")]
-        return pa.table(columns, ["d", "th", "kind", "first", "last", "place"])
+        columns = [out.column("d"), out.column("th"), pa.array(is_later.astype(np.int32)), out.column("first"), pa.array(length), out.column("place"), out.column("gram")]
+        return pa.table(columns, ["d", "th", "kind", "first", "last", "place", "gram"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             spans = batch.filter(pa.compute.equal(batch.column(8), 1))
             if len(spans):
-                yield spans.select(["d", "th", "kind", "first", "last", "place"])
+                yield spans.select(["d", "th", "kind", "first", "last", "place", "gram"])
             batch = batch.filter(pa.compute.not_equal(batch.column(8), 1))
             if len(batch) == 0:
                 continue
@@ -180,7 +183,7 @@ def _met(runs: DataFrame, window: int) -> DataFrame:
             yield from judge(table).to_batches()
 
     dealt = runs.repartition("deal").sortWithinPartitions("gram")
-    return dealt.mapInArrow(run, "d long, th long, kind int, first long, last int, place int")
+    return dealt.mapInArrow(run, "d long, th long, kind int, first long, last int, place int, gram long")
 
 
 class Run:
@@ -308,6 +311,8 @@ def _suffix_runs(joined: DataFrame, ranges: int, window: int) -> DataFrame:
                 data = text.encode()
                 th = rows[0]["th"]
                 for r in rows:
+                    if r["hot"]:
+                        continue
                     first, last, at = r["first"], r["first"] + r["last"], r["first"] + r["place"]
                     found.append((data[at : last + window], data[first:at][::-1], d, th, at, at - last, at - first))
             # Suffixes that share the anchor's 24 bytes must meet; more order between ranges isn't needed.
@@ -358,6 +363,37 @@ def _merged(runs: DataFrame, window: int) -> DataFrame:
     return runs.groupBy("range").applyInPandas(task, "d long, th long, first long, last int")
 
 
+def _hot_repeats(joined: DataFrame, window: int) -> DataFrame:
+    """Repeated bytes among the hot candidates: their windows meet one by one, by a hash of their own bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in passes(batches, limit=1 << 20):
+            found: list[tuple] = []
+            for d, text, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                data = text.encode()
+                for r in rows:
+                    if r["hot"]:
+                        for p in range(r["first"], r["first"] + r["last"] + 1):
+                            found.append((hashlib.md5(data[p : p + window]).digest(), d, r["th"], p))
+                if len(found) >= 1 << 16:
+                    yield of(found)
+                    found = []
+            if found:
+                yield of(found)
+
+    def of(found: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], ["own", "d", "th", "p"])
+
+    hot = joined.where(F.exists("rows", lambda r: r["hot"]))
+    windows = stored(hot.mapInArrow(run, "own binary, d long, th long, p long"), "hot")
+    # Sums come before the shuffle, and a window that many hold is split by the join: no task gets all of its places.
+    at = F.struct("d", "p")
+    least = windows.groupBy("own").agg(F.min(at).alias("least"), F.max(at).alias("most")).where("least <> most")
+    later = windows.join(least.select("own", "least"), "own").where(at != F.col("least"))
+    return later.select("d", "th", F.col("p").alias("first"), F.lit(window).alias("last"))
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document row: bytes, removed bytes and spans, hash of what is left, and what is left.
 
@@ -367,11 +403,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
     rows = _keyed(docs, names)
     met = stored(_met(_runs(rows.select("d", "th", "text"), window), window), "met")
     spans, candidates = met.where("kind = 1"), met.where("kind = 0").distinct()
-    grouped = candidates.groupBy("d", "th").agg(F.collect_list(F.struct("th", "first", "last", "place")).alias("rows"))
+    # At most one in HOT candidates is another such gram.
+    crowds = [r.gram for r in candidates.groupBy("gram").count().where(F.col("count") > HOT).collect()]
+    hot = F.col("gram").isin(crowds) if crowds else F.lit(False)
+    grouped = candidates.groupBy("d", "th").agg(F.collect_list(F.struct("th", "first", "last", "place", hot.alias("hot"))).alias("rows"))
     joined = rows.join(grouped, ["d", "th"], "left").select("d", "text", "rows")
     # Equal rows would meet as one place twice, which is not a repeat, so that they may stay.
     ranges = max(1, -(-candidates.count() // RANGE))
     found = _merged(_suffix_runs(joined, ranges, window), window)
+    if crowds:
+        found = found.union(_hot_repeats(joined, window))
     every = spans.select("d", "th", "first", "last").union(found).groupBy("d", "th")
     every = every.agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
