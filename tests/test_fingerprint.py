@@ -1,4 +1,5 @@
 import hashlib
+import inspect
 import json
 from datetime import datetime, timezone
 from decimal import Decimal
@@ -75,6 +76,12 @@ def test_stream_digest_by_hand(spark):
         stream_fingerprint(frame, max_pairs=2)
 
 
+def test_stream_digest_has_no_limit_of_its_own(spark):
+    assert inspect.signature(stream_fingerprint).parameters["max_pairs"].default is None
+    frame = _many(spark, range(50))
+    assert stream_fingerprint(frame) == stream_fingerprint(frame, max_pairs=50)
+
+
 @pytest.mark.parametrize(("leaf", "fan"), [(6, 3), (1, 3), (2, 1), (5, 2)])
 def test_tree_digest_by_hand(spark, leaf, fan):
     frame = _many(spark, [*range(200), *range(50)])

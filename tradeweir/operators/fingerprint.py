@@ -8,7 +8,7 @@ Two digests of that multiset exist. They differ in value, so keep the mode next
 ``tree``    Hash pairs are digested per hash prefix, then prefix digests are digested again up to
             one root. Every step is a grouped aggregate of bounded groups; use it for real data.
 ``stream``  One SHA-256 over all pairs in hash order. SHA-256 cannot be split, so the pairs pass
-            one process in order; it refuses datasets above ``max_pairs``.
+            one process in order, whatever their number.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from tradeweir.functions.text import canonical_silver_json, length_prefixed
 # (5 MB) in a leaf. SHA-256 spreads them evenly and equal rows are one pair, so no leaf is hot.
 LEAF_DIGITS = 6
 FAN_DIGITS = 3
-STREAM_PAIR_LIMIT = 10_000_000
 
 
 def canonical_rows(silver: DataFrame) -> DataFrame:
@@ -58,13 +57,16 @@ def tree_fingerprint(
     return _tree(counts, {"fingerprint": "multiplicity"}, leaf_digits, fan_digits)
 
 
-def stream_fingerprint(silver: DataFrame, *, max_pairs: int = STREAM_PAIR_LIMIT) -> str:
-    """The ``stream`` digest, computed with constant memory on the driver."""
+def stream_fingerprint(silver: DataFrame, *, max_pairs: int | None = None) -> str:
+    """The ``stream`` digest, computed partition by partition on the driver.
+
+    There is no limit unless the caller sets ``max_pairs``.
+    """
     ordered = row_hash_counts(silver).orderBy("row_hash")
     digest = hashlib.sha256()
     pairs = ordered.select(length_prefixed(F.col("row_hash"), F.col("multiplicity")).alias("part"))
     for seen, row in enumerate(pairs.toLocalIterator(prefetchPartitions=True)):
-        if seen >= max_pairs:
+        if max_pairs is not None and seen >= max_pairs:
             raise PipelineError(
                 f"more than {max_pairs} distinct rows: use tree_fingerprint, which is distributed"
             )
