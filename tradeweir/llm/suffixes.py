@@ -42,8 +42,8 @@ from tradeweir.llm.common import id_and_text, passes, stored
 from tradeweir.llm.words import mix, utf8
 
 WINDOW = 100
-PASS = 4 << 20
-CROWD = 64  # different surroundings of 24 bytes in a pass from which on they are dealt out further
+PASS = 1 << 20  # bytes of text of one numpy pass, which takes a worker to about 150 MB; longer texts are cut
+CROWD = 16  # different surroundings of 24 bytes in a pass from which on they are dealt out further
 RANGE = 30_000  # suffixes that one task merges
 HOT = 30_000  # candidates with equal 24 bytes from which on their windows meet one by one
 _NULL_ID = -(1 << 63)
@@ -75,7 +75,7 @@ def _runs(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in passes(batches, limit=PASS):
             data, bounds = utf8(batch.column(2))
-            if len(data) >= 1 << 24:  # place numbers have 24 bits: one very long text at a time, in overlapping parts
+            if len(data) > PASS:  # one long text, in parts that overlap by a window
                 for part, part_bounds, offset in _parts(data, bounds, window):
                     yield from one(part, part_bounds, batch, offset)
             else:
@@ -128,7 +128,7 @@ def _runs(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _parts(data: np.ndarray, bounds: np.ndarray, window: int) -> Iterator[tuple]:
-    step = (1 << 24) - window - 1
+    step = max(PASS - window, 1)
     for i in range(len(bounds) - 1):
         for at in range(int(bounds[i]), max(int(bounds[i + 1]) - window + 1, int(bounds[i]) + 1), step):
             part = data[at : min(at + step + window - 1, int(bounds[i + 1]))]
