@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +35,18 @@ def kafka_stream(
     return spark.readStream.format("kafka").options(**options, **(extra or {})).load()
 
 
+def kafka_source(
+    bootstrap_servers: str, topic: str, extra: Mapping[str, str] | None = None
+) -> Callable[[SparkSession, str | None], DataFrame]:
+    """How a stream job opens a topic once its gates have passed."""
+    return lambda spark, starting: kafka_stream(spark, bootstrap_servers, topic, starting, extra)
+
+
+def file_source(path: str, fmt: str = "parquet") -> Callable[[SparkSession, str | None], DataFrame]:
+    """How a stream job opens a folder of archived records, all of which it takes."""
+    return lambda spark, starting: file_stream(spark, path, fmt)
+
+
 def file_stream(
     spark: SparkSession,
     path: str,

@@ -3,25 +3,27 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tradeweir.contracts import BRONZE_15, TableRoles, require_table
 from tradeweir.errors import CheckpointEpochError
-from tradeweir.operators.quality import classify, parse_trades
+from tradeweir.operators.quality import TRADE_FIELD_RULES, TRADE_GATES, classify, parse_trades
 
-# Checkpoints of epochs that wrote Bronze before the present contract.
-RETIRED_CHECKPOINTS = (
-    "s3a://market-lake/checkpoints/market/bronze-trades",
-    "s3a://market-lake/checkpoints/market/bronze-trades-quality-v1",
-)
+# Opens the raw records; the argument is where a first start begins, or null on a restart.
+OpenSource = Callable[[SparkSession, "str | None"], DataFrame]
+FIRST_OFFSETS = "latest"
+LABELS = tuple(rule.label for rule in (*TRADE_GATES, *TRADE_FIELD_RULES))
+COUNTS = "bronze_labels"
 
 
-def check_epoch(location: str, retired: Iterable[str] = RETIRED_CHECKPOINTS) -> str:
-    """Reject exactly the retired checkpoint paths (T4). Needs no session."""
+def check_epoch(location: str, retired: Iterable[str] = ()) -> str:
+    """Reject exactly the checkpoint paths that earlier epochs have left (T4). Needs no session."""
     if not location:
         raise CheckpointEpochError("a stream needs a checkpoint location")
     if location in set(retired):
@@ -55,25 +57,45 @@ def start_append(
 
 def run_bronze_stream(
     spark: SparkSession,
-    records: DataFrame,
+    open_source: OpenSource,
     table: str,
     checkpoint: str,
     roles: TableRoles,
     *,
     fmt: str = "iceberg",
-    retired: Iterable[str] = RETIRED_CHECKPOINTS,
+    retired: Iterable[str] = (),
+    first_offsets: str = FIRST_OFFSETS,
     **options,
 ) -> StreamingQuery:
     """Classify raw records into Bronze, every record once.
 
     The epoch of the checkpoint, the table's role and its exact schema are checked first and in
-    that order (T4, C6, T5); nothing is created or altered. A restart with the same checkpoint goes
-    on where the last run ended (T2, T3).
+    that order (T4, C6, T5); nothing is created or altered, and the source is not opened before all three hold.
+    A first start begins at ``first_offsets``; a restart with the same checkpoint goes on where the last run
+    ended, whatever the source would begin with (T2, T3). Each batch counts its rows and labels in its
+    progress, under ``COUNTS``.
     """
     check_epoch(checkpoint, retired)
     roles.require("bronze", table)
     require_table(spark, table, BRONZE_15)
-    return start_append(classify(records), table, checkpoint, fmt=fmt, **options)
+    records = open_source(spark, None if has_offsets(spark, checkpoint) else first_offsets)
+    return start_append(count_labels(classify(records)), table, checkpoint, fmt=fmt, **options)
+
+
+def has_offsets(spark: SparkSession, checkpoint: str) -> bool:
+    """Has a stream with this checkpoint planned a batch before?"""
+    try:
+        return not spark.read.format("binaryFile").load(f"{checkpoint}/offsets").select("path").isEmpty()
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def count_labels(bronze: DataFrame) -> DataFrame:
+    """The same rows; a query over them observes rows, valid rows and rows with each label."""
+    each = [F.count_if(F.array_contains("validation_errors", label)).alias(label) for label in LABELS]
+    return bronze.observe(COUNTS, F.count("*").alias("rows"), F.count_if("is_valid").alias("valid"), *each)
 
 
 def start_console(records: DataFrame, name: str | None = None) -> StreamingQuery:
