@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from tests.rows import bronze_rows
 from tradeweir.contracts import BRONZE_13, SILVER_12
 from tradeweir.errors import ContractError
-from tradeweir.functions.money import exact_product, rounded_product
+from tradeweir.functions.money import (
+    exact_product,
+    product_problem,
+    rounded_product,
+    try_exact_product,
+    unfit_notionals,
+)
 from tradeweir.operators.silver import build_silver
 
 getcontext().prec = 80
@@ -62,6 +68,14 @@ EXACT = [
     ("-0.1234567891", "-3.5"),
     ("999999999999.99999999", "0.00000001"),
     ("0", "0"),
+    ("1000000000000000000", "1"),
+    ("200000000000000000", "0.5"),
+    ("99999999999999999999.999999999999999999", "1"),
+    ("99999999999999999999.999999999999999999", "-1"),
+    ("99999999999999999999", "0.000000000000000001"),
+    ("12345678901234567890.123456789012345678", "8"),
+    ("0.000000001", "99999999999999999999"),
+    ("1234567890.123456789", "1234567890.123456789"),
 ]
 
 
@@ -119,3 +133,42 @@ def test_scan_is_pruned_and_filtered(spark, tmp_path):
     assert "EqualTo(is_valid,true)" in plan
     assert "raw_json" not in plan and "validation_errors" not in plan
     assert "Exchange" not in plan
+
+
+def test_wide_products_against_big_integers(spark):
+    rng = random.Random(4)
+
+    def number():
+        whole, decimals = rng.randint(0, 20), rng.randint(0, 18)
+        value = Decimal(rng.randrange(10**whole)) + Decimal(rng.randrange(10**decimals)) / 10**decimals
+        return value * rng.choice([1, 1, -1])
+
+    frame = _pairs(spark, *[(number(), number()) for _ in range(1500)])
+    operands = (F.col("price"), F.col("quantity"))
+    rows = frame.select("*", try_exact_product(*operands).alias("x"), product_problem(*operands).alias("why")).collect()
+    seen = set()
+    for r in rows:
+        product = r.price * r.quantity
+        why = "NOTIONAL_SCALE" if (product * 10**18) % 1 else "NUMERIC_VALUE_OUT_OF_RANGE" if abs(product) >= 10**20 else None
+        assert (r.x, r.why) == (None if why else product, why)
+        seen.add(why)
+    assert len(seen) == 3
+
+
+def test_rows_that_a_rebuild_would_fail_on(spark):
+    frame = bronze_rows(
+        spark,
+        {"trade_id": "fits", "price": Decimal(10**18), "quantity": Decimal(1)},
+        {"trade_id": "large", "price": Decimal(10**18), "quantity": Decimal(1000)},
+        {"trade_id": "fine", "price": Decimal("0.0000000001"), "quantity": Decimal("0.0000000001")},
+        {"trade_id": "refused", "price": Decimal(10**18), "quantity": Decimal(1000), "is_valid": False},
+        {"trade_id": "none", "price": None},
+    )
+    assert {r.trade_id: r.problem for r in unfit_notionals(frame).collect()} == {
+        "large": "NUMERIC_VALUE_OUT_OF_RANGE",
+        "fine": "NOTIONAL_SCALE",
+    }
+    rebuilt = build_silver(frame.where("trade_id NOT IN ('large', 'fine')")).collect()
+    assert {r.trade_id: r.notional for r in rebuilt} == {"fits": Decimal(10**18), "none": None}
+    with pytest.raises(PySparkException, match="NOTIONAL_SCALE: no exact product of 0.0000000001"):
+        build_silver(frame.where("trade_id = 'fine'")).collect()

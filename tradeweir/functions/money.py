@@ -1,20 +1,25 @@
 """Exact decimal products (V6).
 
 Spark types ``decimal(38,18) * decimal(38,18)`` as ``decimal(38,6)`` and rounds. The exact
-product below never does: it either has at most 18 decimals and is returned as is, or fails.
+product below never does: it is returned whole if it fits ``decimal(38,18)``, or it fails.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeweir.contracts import MONEY
+from tradeweir.contracts import BRONZE_15, MONEY
 
-# decimal(20,8) * decimal(17,8) is typed decimal(38,16): wide enough for exchange quotes and
-# computed without rounding. Rows that do not fit take the slower split product.
-QUOTE_TYPE = "decimal(20,8)"
+# decimal(19,8) * decimal(17,8) is typed decimal(37,16): wide enough for exchange quotes, computed
+# without rounding, and never beyond 20 whole digits. Rows that do not fit take the slower product by parts.
+QUOTE_TYPE = "decimal(19,8)"
 SIZE_TYPE = "decimal(17,8)"
+UNITS = 10**18  # smallest steps of the money type in one
+NO_SCALE = "NOTIONAL_SCALE"
+NO_RANGE = "NUMERIC_VALUE_OUT_OF_RANGE"
 
 
 def rounded_product(price: Column, quantity: Column) -> Column:
@@ -24,39 +29,89 @@ def rounded_product(price: Column, quantity: Column) -> Column:
 
 def exact_product(price: Column, quantity: Column) -> Column:
     """``price * quantity`` as ``decimal(38,18)``, exact or an error."""
-    quote = price.try_cast(QUOTE_TYPE)
-    size = quantity.try_cast(SIZE_TYPE)
-    fits = (quote == price) & (size == quantity)
+
+    def insist(found: Column) -> Column:
+        refuse = F.raise_error(F.concat(found["problem"], F.lit(": no exact product of "), price.cast("string"), F.lit(" and "), quantity.cast("string")))
+        return F.when(found["problem"].isNull(), found["product"]).otherwise(refuse.cast(MONEY))
+
+    return _product(price, quantity, _let(_by_parts(price, quantity), insist))
+
+
+def try_exact_product(price: Column, quantity: Column) -> Column:
+    """The exact product where it fits, else null."""
+    return _product(price, quantity, _by_parts(price, quantity)["product"])
+
+
+def product_problem(price: Column, quantity: Column) -> Column:
+    """Why there is no exact product: more decimals or more whole digits than the type has; null if there is one."""
+    known = price.isNotNull() & quantity.isNotNull()
+    return F.when(known & ~_fits(price, quantity), _by_parts(price, quantity)["problem"])
+
+
+def unfit_notionals(bronze: DataFrame) -> DataFrame:
+    """The valid Bronze rows that a rebuild in exact mode would fail on, each with its ``problem``."""
+    BRONZE_15.require_names(bronze, "Bronze input")
+    problem = product_problem(F.col("price"), F.col("quantity"))
+    return bronze.where("is_valid = true").withColumn("problem", problem).where("problem IS NOT NULL")
+
+
+def _fits(price: Column, quantity: Column) -> Column:
+    """Do both operands fit the types whose product Spark computes whole?"""
+    return F.coalesce((price.try_cast(QUOTE_TYPE) == price) & (quantity.try_cast(SIZE_TYPE) == quantity), F.lit(False))
+
+
+def _product(price: Column, quantity: Column, by_parts: Column) -> Column:
+    quick = (price.try_cast(QUOTE_TYPE) * quantity.try_cast(SIZE_TYPE)).cast(MONEY)
     return (
         F.when(price.isNull() | quantity.isNull(), F.lit(None).cast(MONEY))
-        .when(fits, (quote * size).cast(MONEY))
-        .otherwise(_split_product(price, quantity))
+        .when(_fits(price, quantity), quick)
+        .otherwise(by_parts)
     )
 
 
-def _split_product(price: Column, quantity: Column) -> Column:
-    """Multiply whole and fractional parts apart, each in a type that holds it exactly.
+def _by_parts(price: Column, quantity: Column) -> Column:
+    """The product and its problem, one of them null.
 
-    The partial products stay exact as long as they have at most 17 whole digits; beyond that a
-    cast overflows, which fails under ANSI.
+    Both operands are cut into whole numbers of ones and of smallest steps. Of the four partial products only the
+    one of steps with steps can have a remainder, which would be a 19th decimal; its quotient is carried.
+    Sums and products of ``decimal(38,0)`` lose nothing, and what is too large for that type, where they are null, is too
+    large for the result. Each intermediate value is bound once, so the rare slow way stays out of generated code.
     """
-    price_whole, price_part = _whole_and_part(price)
-    size_whole, size_part = _whole_and_part(quantity)
-    tiny = price_part * size_part  # decimal(37,36), exact
-    kept = tiny.cast("decimal(18,18)")
-    term = "decimal(35,18)"  # three additions of these stay within 38 digits at scale 18
-    total = (
-        (price_whole * size_whole).cast(term)
-        + (price_whole * size_part).cast(term)
-        + ((price_part * size_whole).cast(term) + kept.cast(term))
-    ).cast(MONEY)
-    lossless = kept.cast("decimal(37,36)") == tiny
-    refuse = F.raise_error(F.lit("NOTIONAL_SCALE: the product needs more than 18 decimals"))
-    return F.when(lossless, total).otherwise(refuse.cast(MONEY))
-
-
-def _whole_and_part(value: Column) -> tuple[Column, Column]:
-    # decimal(37,18) minus decimal(19,0) is typed decimal(38,18); one digit more would round.
-    narrowed = value.cast("decimal(37,18)")
-    whole = F.floor(narrowed).cast("decimal(19,0)")
-    return whole, (narrowed - whole).cast("decimal(18,18)")
+    one = F.lit(UNITS).cast("decimal(19,0)")
+
+    def combine(cut: Column) -> Column:
+        tiny = cut["steps_a"] * cut["steps_b"]  # below 10**36
+        crossed = F.try_add(
+            (cut["ones_a"] * cut["steps_b"]).cast("decimal(38,0)"), (cut["steps_a"] * cut["ones_b"]).cast("decimal(38,0)")
+        )
+        whole = F.try_multiply(F.try_multiply(cut["ones_a"], cut["ones_b"]), one)
+        return F.struct(tiny.alias("tiny"), F.try_add(crossed, whole).alias("rest"))
+
+    def carry(sums: Column) -> Column:
+        over = sums["tiny"] % one
+        carried = ((sums["tiny"] - over).cast("decimal(36,0)") / one).cast("decimal(38,0)")
+        return F.struct(over.alias("over"), F.try_add(sums["rest"], carried).cast("string").alias("steps"))
+
+    def write(found: Column) -> Column:
+        digits = F.lpad(found["steps"], F.greatest(F.lit(19), F.length(found["steps"])), "0")
+        text = F.concat(F.left(digits, F.length(digits) - 18), F.lit("."), F.right(digits, F.lit(18)))
+        minus = F.when((price < 0) != (quantity < 0), "-").otherwise("")
+        problem = F.when(found["over"] != 0, NO_SCALE).when(found["steps"].isNull(), NO_RANGE)
+        return F.struct(
+            F.when(problem.isNull(), F.concat(minus, text).cast(MONEY)).alias("product"), problem.alias("problem")
+        )
+
+    cut = F.struct(*_ones_and_steps(price, "a"), *_ones_and_steps(quantity, "b"))
+    return _let(_let(_let(cut, combine), carry), write)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _ones_and_steps(value: Column, name: str) -> list[Column]:
+    """The size of a number of the money type, which is written with all its 18 decimals, cut at the point."""
+    text = F.ltrim(value.cast("string"), F.lit("-"))
+    ones, steps = F.substring_index(text, ".", 1), F.substring_index(text, ".", -1)
+    return [ones.cast("decimal(20,0)").alias(f"ones_{name}"), steps.cast("decimal(18,0)").alias(f"steps_{name}")]
