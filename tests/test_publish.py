@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tests.rows import bronze_rows, silver_rows
 from tradeweir.contracts import BRONZE_13, BRONZE_15, SILVER_12, TableRoles, create_table_sql
@@ -6,14 +7,16 @@ from tradeweir.errors import (
     ContractError,
     CopyMismatchError,
     NullsFoundError,
+    PipelineError,
     PublishError,
     RoleError,
     SnapshotError,
 )
 from tradeweir.operators.fingerprint import tree_fingerprint
 from tradeweir.plans import publish as publishing
-from tradeweir.plans.compact import compact
-from tradeweir.plans.inspect import inspect_table, inspection_sql, partition_note
+from tradeweir.operators.order import unsorted_files
+from tradeweir.plans.compact import compact, compaction_plan
+from tradeweir.plans.inspect import inspect_table, inspection_sql, listed_files, partition_note
 from tradeweir.plans.rebuild import rebuild_silver
 from tradeweir.sources.snapshots import (
     commit_version,
@@ -21,6 +24,7 @@ from tradeweir.sources.snapshots import (
     history,
     read_version,
     version_behind,
+    version_table,
 )
 
 
@@ -220,6 +224,20 @@ def test_inspection(spark, roles):
     assert parts == [("202601", 2)]
 
 
+def test_listings_read_no_data(spark, roles):
+    commit_version(_numbered(spark, *range(8)).repartition(4), roles.silver)
+    stored = version_behind(spark, roles.silver)
+    sections = inspect_table(spark, roles.silver, rows_per_file=False)
+    plan = sections["files"]._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan and "FileScan parquet" not in plan
+    counted = inspect_table(spark, roles.silver)["files"]
+    reads = [x for x in counted._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in x]
+    assert reads and all("ReadSchema: struct<>" in x for x in reads)
+    sizes = {r.file_path: r.file_size for r in listed_files(spark, stored).collect()}
+    assert len(sizes) == 4 and all(s > 0 for s in sizes.values())
+    assert {r.file_path: r.file_size for r in counted.collect()} == sizes
+
+
 def test_inspection_statements_only_read():
     statements = inspection_sql("cat.db.t", 7)
     assert len(statements) == 11
@@ -236,3 +254,96 @@ def test_compaction_keeps_the_rows(spark, roles):
     compact(spark, roles.silver)
     assert inspect_table(spark, roles.silver)["files_count"].first().row_count == 1 < files
     assert _ids(spark.table(roles.silver)) == sorted(str(n) for n in range(30))
+
+
+def test_compaction_by_size_keeps_folders_and_order(spark, roles):
+    rows = silver_rows(spark, *[{"symbol": f"S{n % 3}", "trade_id": f"{n:03d}"} for n in range(90)])
+    first = commit_version(rows.repartition(5), roles.silver, partition_by=["symbol"])
+    before = compaction_plan(spark, version_table(roles.silver, first)).collect()
+    assert {r.folder for r in before} == {"symbol=S0/", "symbol=S1/", "symbol=S2/"}
+    assert all(r.small and r.files > 1 and r.target_files == 1 for r in before)
+    second = compact(spark, roles.silver, sort_by=["trade_id"])
+    after = compaction_plan(spark, version_table(roles.silver, second)).collect()
+    assert [(r.files, r.small) for r in after] == [(1, False)] * 3 and second != first
+    assert unsorted_files(spark.table(version_table(roles.silver, second)), ["trade_id"]).isEmpty()
+    assert compact(spark, roles.silver, sort_by=["trade_id"]) == second
+    smallest = min(r.bytes for r in after)
+    third = compact(spark, roles.silver, target_bytes=smallest * 2)
+    assert third == second
+    assert sorted(r.trade_id for r in spark.table(roles.silver).collect()) == [f"{n:03d}" for n in range(90)]
+    with pytest.raises(PipelineError):
+        compaction_plan(spark, version_table(roles.silver, second), 0)
+
+
+def test_unsorted_files_are_found(spark, tmp_path):
+    path = str(tmp_path / "order")
+    key = ["symbol", "kafka_offset"]
+    rows = silver_rows(spark, *[{"symbol": f"S{n % 4}", "kafka_offset": n // 4} for n in range(400)]).select(*key)
+    rows.repartition(3).sortWithinPartitions(*key).write.parquet(path)
+    assert unsorted_files(spark.read.parquet(path), key).isEmpty()
+    rows.repartition(1).sortWithinPartitions("symbol", F.desc("kafka_offset")).write.mode("append").parquet(path)
+    found = [r.file_path for r in unsorted_files(spark.read.parquet(path), key).collect()]
+    assert len(found) == 1
+    assert unsorted_files(spark.read.parquet(path), ["symbol"]).isEmpty()
+    nulls = str(tmp_path / "nulls")
+    rows.union(spark.createDataFrame([(None, 1), (None, None)], rows.schema)).repartition(1).sortWithinPartitions(*key).write.parquet(nulls)
+    assert unsorted_files(spark.read.parquet(nulls), key).isEmpty()
+    assert unsorted_files(spark.read.parquet(nulls).limit(0), key).isEmpty()
+
+
+def test_pieces_of_a_file_are_compared_end_to_end(spark, tmp_path):
+    path = str(tmp_path / "split")
+    groups = {"parquet.block.size": "20000", "parquet.page.row.count.limit": "200"}
+    up, down = (spark.range(s, s + 30_000).repartition(1).sortWithinPartitions("id") for s in (50_000, 0))
+    up.union(down).coalesce(1).write.options(**groups).parquet(path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    try:
+        frame = spark.read.parquet(path)
+        assert frame.rdd.getNumPartitions() > 2
+        assert unsorted_files(frame, ["id"]).count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_a_rewritten_unsorted_file_is_refused(spark, roles):
+    commit_version(_numbered(spark, *range(40)), roles.silver)
+    load = publishing.load_staging(spark, roles.silver, roles)
+    rows = spark.table(load.staged_table)
+    kept = spark.createDataFrame(rows.sort(F.desc("trade_id")).collect(), rows.schema).coalesce(1)
+    kept.write.mode("overwrite").partitionBy("event_month").saveAsTable(load.staged_table)
+    with pytest.raises(ContractError, match="not sorted"):
+        publishing.exchange(spark, roles)
+    assert spark.table(roles.serving).count() == 0
+
+
+def test_three_publications_leave_two_versions_and_a_way_back(spark, roles):
+    for numbers in ((1,), (1, 2), (1, 2, 3)):
+        commit_version(_numbered(spark, *numbers), roles.silver)
+        publishing.publish(spark, roles.silver, roles)
+    names = {t.name for t in spark.catalog.listTables(roles.staging.rpartition(".")[0])}
+    assert len([n for n in names if n.startswith("staging__v") and n != "staging__v0"]) == 2
+    assert publishing.release_versions(spark, roles) == []
+    publishing.exchange(spark, roles)
+    assert _ids(spark.table(roles.serving)) == ["1", "2"]
+
+
+def test_publication_reads_the_source_twice(spark, roles, monkeypatch):
+    commit_version(_numbered(spark, *range(5)), roles.silver)
+    reads = []
+    whole = publishing.read_version
+
+    def counted(*args):
+        reads.append(args)
+        return whole(*args)
+
+    monkeypatch.setattr(publishing, "read_version", counted)
+    monkeypatch.setattr(publishing, "require_same_profile", lambda *_: pytest.fail("profiled without need"))
+    publishing.publish(spark, roles.silver, roles)
+    assert len(reads) == 2
+
+
+def test_nulls_are_reported_by_the_comparison(spark, roles):
+    pinned = commit_version(silver_rows(spark, {"price": None}, {}), roles.silver)
+    with pytest.raises(NullsFoundError, match="price=1"):
+        publishing.validate_copy(spark, roles.silver, pinned, spark.table(roles.silver))

@@ -24,6 +24,8 @@ from tradeweir.sources.jdbc import (
     append_copy,
     clickhouse_target,
     jdbc_options,
+    count_statement,
+    equal_ranges,
     partitioned_read_options,
     replace_staging,
 )
@@ -107,3 +109,21 @@ def test_jdbc_append_rejects_other_columns_first(spark):
     target = clickhouse_target("h", 1, "d", "u", "p")
     with pytest.raises(ContractError):
         append_copy(silver_rows(spark, {}).select(*reversed(SILVER_12.columns)), target, "t")
+
+
+def test_jdbc_ranges_are_about_equal_and_hold_every_row_once(spark):
+    offsets = [*range(1000), *range(10**9, 10**9 + 3000), *[5] * 500, None]
+    rows = silver_rows(spark, *[{"kafka_offset": n} for n in offsets])
+    ranges = equal_ranges(rows, "kafka_offset", 6)
+    sizes = [rows.where(condition).count() for condition in ranges]
+    assert len(sizes) == 6 and sum(sizes) == len(offsets) and max(sizes) < 1.8 * len(offsets) / 6
+    assert equal_ranges(rows, "kafka_offset", 1) == ["1 = 1"]
+    assert equal_ranges(rows.limit(0), "kafka_offset", 4) == ["1 = 1"]
+    one = equal_ranges(rows.where("kafka_offset = 5"), "kafka_offset", 4)
+    assert sum(rows.where(condition).count() for condition in one) == len(offsets)
+    for column, tasks in (("symbol", 2), ("kafka_offset", 0), ("nothing", 2)):
+        with pytest.raises(PipelineError):
+            equal_ranges(rows, column, tasks)
+    assert count_statement("a.b") == "SELECT COUNT(*) AS row_count FROM a.b"
+    with pytest.raises(IdentifierError):
+        count_statement("a; DROP TABLE b")

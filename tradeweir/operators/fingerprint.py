@@ -14,6 +14,7 @@ Two digests of that multiset exist. They differ in value, so keep the mode next
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from tradeweir.functions.text import canonical_silver_json, length_prefixed
 # (5 MB) in a leaf. SHA-256 spreads them evenly and equal rows are one pair, so no leaf is hot.
 LEAF_DIGITS = 6
 FAN_DIGITS = 3
+# Copies of a surplus row that are listed from one array.
+REPEATS = 1 << 12
 
 
 def canonical_rows(silver: DataFrame) -> DataFrame:
@@ -35,15 +38,18 @@ def canonical_rows(silver: DataFrame) -> DataFrame:
 
 
 def row_hash_counts(silver: DataFrame) -> DataFrame:
-    """Distinct row hashes with their number of occurrences (A5).
+    """Distinct row hashes with their number of occurrences (A5)."""
+    return _binary_counts(silver).select(F.lower(F.hex("hash")).alias("row_hash"), "multiplicity")
+
+
+def _binary_counts(silver: DataFrame) -> DataFrame:
+    """Hashes are shuffled as 32 bytes, half the size of their hex text, and equal rows are counted before."""
+    binary = canonical_rows(silver).select(_row_hash())
+    return binary.groupBy("hash").agg(F.count("*").alias("multiplicity"))
 
-    Hashes are shuffled as 32 bytes, half the size of their hex text, and equal rows are counted
-    before the shuffle.
-    """
-    binary = canonical_rows(silver).select(F.unhex(F.sha2("canonical_row", 256)).alias("hash"))
-    return binary.groupBy("hash").agg(F.count("*").alias("multiplicity")).select(
-        F.lower(F.hex("hash")).alias("row_hash"), "multiplicity"
-    )
+
+def _row_hash() -> Column:
+    return F.unhex(F.sha2("canonical_row", 256)).alias("hash")
 
 
 def tree_fingerprint(
@@ -53,8 +59,7 @@ def tree_fingerprint(
 
     ``leaf_digits`` and ``fan_digits`` shape the tree and so are part of the digest's identity.
     """
-    counts = row_hash_counts(silver)
-    return _tree(counts, {"fingerprint": "multiplicity"}, leaf_digits, fan_digits)
+    return _tree(_binary_counts(silver), {"fingerprint": "multiplicity"}, leaf_digits, fan_digits)
 
 
 def stream_fingerprint(silver: DataFrame, *, max_pairs: int | None = None) -> str:
@@ -76,74 +81,114 @@ def stream_fingerprint(silver: DataFrame, *, max_pairs: int | None = None) -> st
 
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Row hashes whose number of occurrences differs between two Silver frames."""
-    return _two_sided_counts(left, right).where("left_count <> right_count")
+    counts = _two_sided_counts(left, right).where("left_count <> right_count")
+    return counts.select(F.lower(F.hex("hash")).alias("row_hash"), "left_count", "right_count")
 
 
 def except_all_diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Surplus rows of either side, duplicates included: an independent check of A6."""
-    only_left = left.exceptAll(right).withColumn("side", F.lit("left"))
-    only_right = right.exceptAll(left).withColumn("side", F.lit("right"))
-    return only_left.union(only_right)
-
-
-def require_same_rows(left: DataFrame, right: DataFrame) -> str:
-    """The common ``tree`` fingerprint of two datasets, or an error if they differ.
+    """Surplus rows of either side, duplicates included: an independent check of A6.
 
-    Both trees grow from one grouping of both datasets: equal rows travel as one pair.
+    Each side is scanned once: its rows count +1 or -1 in one grouping of whole rows, summed before the only
+    exchange, and what is left of a row's sum is how often it is repeated, in blocks of bounded size.
     """
+    columns = left.columns
+    if right.columns != columns:
+        raise PipelineError(f"rows of {columns} cannot be compared with rows of {right.columns}")
+    both = left.withColumn("_sign", F.lit(1)).union(right.withColumn("_sign", F.lit(-1)))
+    surplus = both.groupBy(*columns).agg(F.sum("_sign").alias("_surplus")).where("_surplus <> 0")
+    blocks = surplus.withColumn("_block", F.explode(F.expr(f"sequence(0L, (abs(_surplus) - 1) div {REPEATS})")))
+    here = F.expr(f"least({REPEATS}L, abs(_surplus) - _block * {REPEATS})")
+    repeated = blocks.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), here)))
+    return repeated.select(*columns, F.when(F.col("_surplus") > 0, "left").otherwise("right").alias("side"))
+
+
+@dataclass(frozen=True)
+class RowComparison:
+    """Digest and rows of two datasets, and the columns in which either holds a null."""
+
+    left: str
+    right: str
+    left_rows: int
+    right_rows: int
+    null_columns: tuple[str, ...]
+
+
+def compare_rows(left: DataFrame, right: DataFrame) -> RowComparison:
+    """One pass over both datasets. Both trees grow from one grouping: equal rows travel as one pair."""
     counts = _two_sided_counts(left, right)
-    found = _tree(
-        counts, {"left": "left_count", "right": "right_count"}, LEAF_DIGITS, FAN_DIGITS
-    ).first()
+    leaves = {"left": "left_count", "right": "right_count"}
+    found = _tree(counts, leaves, LEAF_DIGITS, FAN_DIGITS, totals=True).first()
+    nulls = tuple(c for i, c in enumerate(SILVER_12.columns) if (found.null_mask or 0) >> i & 1)
+    return RowComparison(found.left, found.right, found.left_rows or 0, found.right_rows or 0, nulls)
+
+
+def require_same_rows(left: DataFrame, right: DataFrame) -> str:
+    """The common ``tree`` fingerprint of two datasets, or an error if they differ."""
+    found = compare_rows(left, right)
     if found.left != found.right:
         raise CopyMismatchError(f"row fingerprints differ: {found.left} and {found.right}")
     return found.left
 
 
 def _two_sided_counts(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Each row hash with its number of occurrences on either side."""
-    sides = [
-        canonical_rows(frame).select(
-            F.unhex(F.sha2("canonical_row", 256)).alias("hash"), F.lit(tag).alias("from_left")
-        )
-        for frame, tag in ((left, True), (right, False))
-    ]
-    counted = sides[0].union(sides[1]).groupBy("hash").agg(
+    """Each binary row hash with its number of occurrences on either side, and which of its columns are null."""
+    sides = []
+    for frame, tag in ((left, True), (right, False)):
+        SILVER_12.require_names(frame, "fingerprinted frame")
+        mask = [F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(SILVER_12.columns)]
+        row = frame.select(canonical_silver_json().alias("canonical_row"), sum(mask, F.lit(0)).alias("null_mask"))
+        sides.append(row.select(_row_hash(), "null_mask", F.lit(tag).alias("from_left")))
+    return sides[0].union(sides[1]).groupBy("hash").agg(
         F.count_if("from_left").alias("left_count"),
         F.count_if(~F.col("from_left")).alias("right_count"),
+        F.max("null_mask").alias("null_mask"),
     )
-    return counted.select(F.lower(F.hex("hash")).alias("row_hash"), "left_count", "right_count")
 
 
 def _tree(
-    counts: DataFrame, sides: dict[str, str], leaf_digits: int, fan_digits: int
+    counts: DataFrame, sides: dict[str, str], leaf_digits: int, fan_digits: int, *, totals: bool = False
 ) -> DataFrame:
     """One row with a digest per side; ``sides`` maps its name to its column of occurrences.
 
-    A prefix without rows of a side has no part in that side's tree.
+    A prefix without rows of a side has no part in that side's tree. Leaves collect 32 bytes and a number for each
+    distinct row; their text, twice as long, is only written where it is digested. With ``totals`` the rows of each
+    side are summed, and the columns with nulls united, on the way up.
     """
+    sums = [f"{side}_rows" for side in sides] if totals else []
     if leaf_digits < 1 or fan_digits < 1:
         raise PipelineError("leaf_digits and fan_digits must be at least 1")
-    level = counts.select(
-        F.left("row_hash", F.lit(leaf_digits)).alias("prefix"),
-        *[
-            F.when(F.col(n) > 0, length_prefixed(F.col("row_hash"), F.col(n))).alias(side)
-            for side, n in sides.items()
-        ],
+    leaves = counts.select(
+        F.lower(F.left(F.hex("hash"), F.lit(leaf_digits))).alias("prefix"),
+        *[F.when(F.col(n) > 0, F.struct("hash", F.col(n).alias("n"))).alias(side) for side, n in sides.items()],
+        *[F.col(sides[s.removesuffix("_rows")]).alias(s) for s in sums],
+        *(["null_mask"] if totals else []),
     )
+    added = [F.sum(s).alias(s) for s in sums] + ([F.bit_or("null_mask").alias("null_mask")] if totals else [])
+    digests = leaves.groupBy("prefix").agg(*[_leaf_digest(side).alias(side) for side in sides], *added)
     digits = leaf_digits
-    while digits > 0:
-        digests = level.groupBy("prefix").agg(*[_ordered_digest(s).alias(s) for s in sides])
+    while True:
         digits = max(0, digits - fan_digits)
         level = digests.select(
             F.left("prefix", F.lit(digits)).alias("prefix"),
-            *[F.concat("prefix", s).alias(s) for s in sides],
+            *[F.concat("prefix", side).alias(side) for side in sides],
+            *sums,
+            *(["null_mask"] if totals else []),
         )
+        if digits == 0:
+            break
+        digests = level.groupBy("prefix").agg(*[_ordered_digest(side).alias(side) for side in sides], *added)
     nothing = F.sha2(F.lit(""), 256)
-    return level.agg(*[F.coalesce(_ordered_digest(s), nothing).alias(s) for s in sides])
+    return level.agg(*[F.coalesce(_ordered_digest(side), nothing).alias(side) for side in sides], *added)
+
+
+def _leaf_digest(pair: str) -> Column:
+    """SHA-256 of a leaf's pairs in hash order, null without any."""
+    pairs = F.sort_array(F.collect_list(pair))
+    parts = F.transform(pairs, lambda p: length_prefixed(F.lower(F.hex(p["hash"])), p["n"]))
+    return F.when(F.size(pairs) > 0, F.sha2(F.array_join(parts, ""), 256))
 
 
 def _ordered_digest(part: str) -> Column:
-    """SHA-256 of a group's parts in order, null without any. Parts begin with hash or prefix."""
+    """SHA-256 of a group's parts in order, null without any. Parts begin with their prefix."""
     parts = F.sort_array(F.collect_list(part))
     return F.when(F.size(parts) > 0, F.sha2(F.array_join(parts, ""), 256))

@@ -2,15 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
 
-from tradeweir.sources.snapshots import commit_version, current_snapshot, read_version
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tradeweir.contracts import check_identifier
+from tradeweir.errors import PipelineError
+from tradeweir.plans.inspect import listed_files
+from tradeweir.sources.snapshots import commit_version, current_snapshot, read_version, version_table
 
-def compact(spark: SparkSession, table: str, fmt: str = "parquet") -> int:
-    """Commit the current version of ``table`` again with evenly sized files; returns the new id.
+TARGET_BYTES = 256 << 20
 
-    The target size is ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+
+def compaction_plan(spark: SparkSession, stored: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Per folder of a stored table: files, bytes, and how many files of ``target_bytes`` would hold them.
+
+    Sizes come from the file listing; nothing is read.
+    """
+    if target_bytes <= 0:
+        raise PipelineError("the target size of files must be positive")
+    wanted = F.greatest(F.lit(1), F.ceil(F.sum("file_size") / target_bytes)).cast("int")
+    per_folder = listed_files(spark, stored).groupBy("folder").agg(
+        F.count("*").alias("files"), F.sum("file_size").alias("bytes"), wanted.alias("target_files")
+    )
+    return per_folder.withColumn("small", F.col("files") > F.col("target_files"))
+
+
+def compact(
+    spark: SparkSession,
+    table: str,
+    fmt: str = "parquet",
+    *,
+    target_bytes: int = TARGET_BYTES,
+    sort_by: Sequence[str] = (),
+) -> int:
+    """Commit the current version of ``table`` again in files of about ``target_bytes``; returns the new id.
+
+    Partitioning is kept, and rows are sorted by ``sort_by`` inside each file. A table whose folders hold no more files than
+    they need is left alone, and its present id is returned. Versions never change, so a rewrite is of the
+    whole table. A folder of any size is dealt out over its files by row, so a hot partition is many tasks.
     """
-    rows = read_version(spark, table, current_snapshot(spark, table, fmt), fmt)
-    return commit_version(rows.hint("rebalance"), table, fmt)
+    current = current_snapshot(spark, table, fmt)
+    rows = read_version(spark, table, current, fmt)
+    if fmt != "parquet":
+        return commit_version(rows.hint("rebalance"), table, fmt)
+    stored = version_table(check_identifier(table), current)
+    plan = compaction_plan(spark, stored, target_bytes)
+    total = plan.agg(F.max("small").alias("small"), F.sum("target_files").alias("files")).first()
+    if not total.small:
+        return current
+    by = [c.name for c in spark.catalog.listColumns(stored) if c.isPartition]
+    if by:
+        folder = F.concat(*[p for c in by for p in (F.lit(f"{c}="), F.col(c).cast("string"), F.lit("/"))])
+        sized = rows.withColumn("_folder", folder).join(
+            plan.select(F.col("folder").alias("_folder"), "target_files"), "_folder", "left"
+        )
+        row = F.xxhash64(*[c for c in rows.columns if c not in by])
+        number = F.pmod(row, F.coalesce("target_files", F.lit(1)).cast("long"))
+        spread = sized.withColumn("_file", number).repartition(int(total.files), *by, "_file").select(*rows.columns)
+    elif sort_by:
+        spread = rows.repartitionByRange(int(total.files), *sort_by)
+    else:
+        spread = rows.repartition(int(total.files))
+    if by or sort_by:
+        spread = spread.sortWithinPartitions(*by, *sort_by)
+    return commit_version(spread, table, fmt, partition_by=by)

@@ -38,12 +38,19 @@ def inspection_sql(table: str, max_rows: int | None = None) -> dict[str, str]:
 
 
 def inspect_table(
-    spark: SparkSession, table: str, fmt: str = "parquet", max_rows: int | None = None
+    spark: SparkSession,
+    table: str,
+    fmt: str = "parquet",
+    max_rows: int | None = None,
+    *,
+    rows_per_file: bool = True,
 ) -> dict[str, DataFrame]:
     """Sections in reading order: identity, schema, row count, snapshots, history, files, partitions.
 
     Listings are whole unless ``max_rows`` is given, each next to a section with the full count. Without Iceberg
-    the files come from the scan's own metadata and history from the version convention, if used.
+    the files are listed by name and size, and history comes from the version convention, if used. Rows of
+    files and partitions are counted by scans that read no data column; ``rows_per_file=False`` leaves the count of each file
+    out, and then no row is looked at for them.
     """
     statements = inspection_sql(table, max_rows)
     if fmt == "iceberg":
@@ -64,12 +71,10 @@ def inspect_table(
         listings["snapshots"] = (versions.select("snapshot_id", "made_current_at"), newest_first)
         listings["history"] = (versions, newest_first)
     stored = _stored_table(spark, table)
-    files = (
-        spark.table(stored)
-        .select("_metadata.file_path", "_metadata.file_size")
-        .groupBy("file_path", "file_size")
-        .agg(F.count("*").alias("row_count"))
-    )
+    files = listed_files(spark, stored)
+    if rows_per_file:
+        counted = spark.table(stored).groupBy("_metadata.file_path").agg(F.count("*").alias("row_count"))
+        files = files.join(counted, "file_path", "left").na.fill(0, ["row_count"])
     listings["files"] = (files, (F.asc("file_path"),))
     by = [c.name for c in spark.catalog.listColumns(stored) if c.isPartition]
     if by:
@@ -81,6 +86,15 @@ def inspect_table(
     return sections
 
 
+def listed_files(spark: SparkSession, table: str) -> DataFrame:
+    """Path, size and partition folder of each data file of a stored table. Files are listed, not opened."""
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {check_identifier(table)}").collect()
+    location = next(r.data_type for r in reversed(details) if r.col_name == "Location")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
+    found = reader.load(location).select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
+    return found.withColumn("folder", F.regexp_extract("file_path", "/((?:[^/]+=[^/]+/)*)[^/]+$", 1))
+
+
 def _first(frame: DataFrame, max_rows: int | None) -> DataFrame:
     return frame if max_rows is None else frame.limit(max_rows)
 

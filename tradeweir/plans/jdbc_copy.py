@@ -11,7 +11,8 @@ from pyspark.sql import SparkSession
 from tradeweir.contracts import TableRoles
 from tradeweir.errors import PublishError
 from tradeweir.plans.publish import CopyReport, LoadReport, checked_source, validate_copy
-from tradeweir.sources.jdbc import JdbcTarget, read_copy, replace_staging
+from tradeweir.sources.jdbc import JdbcTarget, count_copy, equal_ranges, read_copy, replace_staging
+from tradeweir.sources.snapshots import read_version
 
 
 def load_jdbc_staging(
@@ -29,7 +30,7 @@ def load_jdbc_staging(
     """
     snapshot_id, rows, profile = checked_source(spark, source, roles, fmt)
     replace_staging(rows, target, roles.staging, roles, **tuning)
-    staged = read_copy(spark, target, roles.staging).count()
+    staged = count_copy(spark, target, roles.staging)
     if staged != profile.row_count:
         raise PublishError(f"staged {staged} rows of {profile.row_count}")
     return LoadReport(source, snapshot_id, profile, roles.staging, staged)
@@ -43,8 +44,11 @@ def validate_jdbc_staging(
     roles: TableRoles,
     *,
     fmt: str = "parquet",
-    split: dict[str, str] | None = None,
+    connections: int = 16,
+    range_column: str = "kafka_offset",
 ) -> CopyReport:
-    """Compare the external staging table with one source snapshot, row for row."""
-    copy = read_copy(spark, target, roles.staging, split)
+    """Compare the external staging table with one source snapshot, row for row, read over several connections."""
+    pinned = read_version(spark, source, snapshot_id, fmt)
+    ranges = equal_ranges(pinned, range_column, connections)
+    copy = read_copy(spark, target, roles.staging, ranges)
     return validate_copy(spark, source, snapshot_id, copy, fmt)

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tradeweir.contracts import (
     SERVING_PARTITION,
@@ -20,12 +21,14 @@ from tradeweir.contracts import (
     TableRoles,
     create_table_sql,
 )
-from tradeweir.errors import ContractError, PublishError
-from tradeweir.operators.fingerprint import require_same_rows
+from tradeweir.errors import ContractError, CopyMismatchError, PublishError
+from tradeweir.operators.fingerprint import compare_rows
 from tradeweir.operators.metrics import with_event_month
+from tradeweir.operators.order import unsorted_files
 from tradeweir.operators.profile import (
     SourceProfile,
     require_same_profile,
+    rows_per_symbol,
     source_profile,
 )
 from tradeweir.sources.snapshots import (
@@ -33,15 +36,11 @@ from tradeweir.sources.snapshots import (
     current_snapshot,
     point_view,
     read_version,
-    table_property,
     version_behind,
     version_table,
     write_version,
 )
 
-SORT_PROPERTY = "tradeweir.sort_key"
-SORT_KEY_TEXT = ",".join(SERVING_SORT_KEY)
-
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -96,16 +95,22 @@ def ensure_serving(spark: SparkSession, roles: TableRoles, fmt: str = "parquet")
     check_serving(spark, roles)
 
 
-def check_serving(spark: SparkSession, roles: TableRoles) -> None:
-    """Both roles show the 12 columns and rest on tables with the serving layout (P5)."""
+def check_serving(spark: SparkSession, roles: TableRoles, *, prove_order: tuple[str, ...] = ()) -> None:
+    """Both roles show the 12 columns and rest on tables with the serving layout (P5).
+
+    For the roles in ``prove_order`` the files themselves are read, sort key only, and must be in order.
+    """
     for name in (roles.serving, roles.staging):
         SILVER_12.require(spark.table(name), name)
         behind = version_behind(spark, name)
         paged = [c.name for c in spark.catalog.listColumns(behind) if c.isPartition]
         if paged != [SERVING_PARTITION]:
             raise ContractError(f"{behind} is partitioned by {paged}, not by {SERVING_PARTITION}")
-        if table_property(spark, behind, SORT_PROPERTY) != SORT_KEY_TEXT:
-            raise ContractError(f"{behind} is not declared as sorted by {SORT_KEY_TEXT}")
+        if name in prove_order:
+            wrong = unsorted_files(spark.table(behind), SERVING_SORT_KEY)
+            example = wrong.first()
+            if example:
+                raise ContractError(f"{behind} is not sorted by {', '.join(SERVING_SORT_KEY)} in {example.file_path}")
 
 
 def read_serving(spark: SparkSession, roles: TableRoles) -> DataFrame:
@@ -123,12 +128,14 @@ def load_staging(
 ) -> LoadReport:
     """Copy the current source snapshot, resolved once, behind ``staging``.
 
-    The source is checked completely before staging is touched.
+    The source is read once: its nulls are counted while it is written, its rows come from file footers. The new
+    version is shown only if it is whole and without nulls; else it is dropped, and both roles are as they were.
     """
-    snapshot_id, rows, profile = checked_source(spark, source, roles, fmt, shown_symbols)
+    roles.require("silver", source)
+    snapshot_id = current_snapshot(spark, source, fmt)
+    rows = SILVER_12.require(read_version(spark, source, snapshot_id, fmt), source)
     ensure_serving(spark, roles, fmt)
-    clear_staging(spark, roles, fmt)
-    return _stage(spark, source, snapshot_id, rows, profile, roles, fmt)
+    return _stage(spark, source, snapshot_id, rows, roles, fmt, shown_symbols)
 
 
 def checked_source(
@@ -155,17 +162,23 @@ def validate_copy(
 ) -> CopyReport:
     """Insist that ``copy`` equals one given source snapshot, row for row (P3). Read-only.
 
-    The id is never resolved again, so a newer source version does not disturb the comparison.
+    The id is never resolved again, so a newer source version does not disturb the comparison. Each side is read
+    once; only if the digests differ are both profiled, to say how.
     """
     check_snapshot_id(snapshot_id)
     rows = read_version(spark, source, snapshot_id, fmt)
-    row_count = require_same_profile(rows, copy)
-    return CopyReport(snapshot_id, row_count, require_same_rows(rows, copy))
+    for side in (rows, copy):
+        SILVER_12.require(side, "compared frame")
+    found = compare_rows(rows, copy)
+    if found.null_columns or found.left != found.right:
+        require_same_profile(rows, copy)
+        raise CopyMismatchError(f"row fingerprints differ: {found.left} and {found.right}")
+    return CopyReport(snapshot_id, found.left_rows, found.left)
 
 
 def exchange(spark: SparkSession, roles: TableRoles) -> ExchangeReport:
     """Swap what ``serving`` and ``staging`` show, once; never retried, never rolled back."""
-    check_serving(spark, roles)
+    check_serving(spark, roles, prove_order=(roles.staging,))
     served, staged = (version_behind(spark, n) for n in (roles.serving, roles.staging))
     before = _row_counts(spark, roles)
     point_view(spark, roles.serving, staged, SILVER_12.columns)
@@ -180,10 +193,30 @@ def exchange(spark: SparkSession, roles: TableRoles) -> ExchangeReport:
 def publish(
     spark: SparkSession, source: str, roles: TableRoles, *, fmt: str = "parquet"
 ) -> PublishReport:
-    """Stage, verify and swap (P6). The former serving version stays behind ``staging``."""
+    """Stage, verify and swap (P6). The former serving version stays behind ``staging``; older ones are dropped."""
     load = load_staging(spark, source, roles, fmt=fmt)
     copy = validate_copy(spark, source, load.snapshot_id, spark.table(roles.staging), fmt)
-    return PublishReport(load, copy, exchange(spark, roles))
+    report = PublishReport(load, copy, exchange(spark, roles))
+    release_versions(spark, roles)
+    return report
+
+
+def release_versions(spark: SparkSession, roles: TableRoles) -> list[str]:
+    """Drop the versions that neither role shows; returns their names.
+
+    What is left is the served version and the one that an exchange would bring back, whichever way the last exchange
+    went. A reader that still reads a version which has left both roles fails, as it would with any table
+    that is dropped.
+    """
+    shown = {version_behind(spark, role).rpartition(".")[2] for role in (roles.serving, roles.staging)}
+    kept = shown | {version_table(r, 0).rpartition(".")[2] for r in (roles.serving, roles.staging)}
+    namespace, _, name = roles.staging.rpartition(".")
+    tables = spark.catalog.listTables(namespace or None, f"{name}__v*")
+    old = sorted(t.name for t in tables if t.name not in kept and t.tableType != "VIEW")
+    dropped = [f"{namespace}.{t}" if namespace else t for t in old]
+    for table in dropped:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return dropped
 
 
 def _stage(
@@ -191,34 +224,44 @@ def _stage(
     source: str,
     snapshot_id: int,
     rows: DataFrame,
-    profile: SourceProfile,
     roles: TableRoles,
     fmt: str,
+    shown_symbols: int | None,
 ) -> LoadReport:
+    seen = Observation()
+    counted = rows.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in SILVER_12.columns])
     version = write_version(
-        serving_layout(rows), roles.staging, fmt, partition_by=[SERVING_PARTITION]
+        serving_layout(counted), roles.staging, fmt, partition_by=[SERVING_PARTITION]
     )
     staged_table = version_table(roles.staging, version)
-    _declare_sort_key(spark, staged_table)
+    wanted, staged = rows.count(), spark.table(staged_table).count()
+    try:
+        # Spark observes nothing where it finds that there is nothing to read.
+        nulls = seen.get if wanted else dict.fromkeys(SILVER_12.columns, 0)
+        profile = _profile(spark.table(staged_table), wanted, nulls, shown_symbols).require_no_nulls()
+        if staged != wanted:
+            raise PublishError(f"staged {staged} rows of {wanted}; nothing was published")
+    except Exception:
+        spark.sql(f"DROP TABLE {staged_table}")
+        raise
     point_view(spark, roles.staging, staged_table, SILVER_12.columns)
-    staged = spark.table(roles.staging).count()
-    if staged != profile.row_count:
-        raise PublishError(f"staged {staged} rows of {profile.row_count}; nothing was published")
     return LoadReport(source, snapshot_id, profile, staged_table, staged)
 
 
+def _profile(staged: DataFrame, row_count: int, nulls: dict[str, int], shown: int | None) -> SourceProfile:
+    """Profile of what was written: its nulls as counted on the way, its symbols from that one column of the copy."""
+    per_symbol = [(r.symbol, r.row_count) for r in rows_per_symbol(staged).collect()]
+    first = tuple(per_symbol if shown is None else per_symbol[:shown])
+    return SourceProfile(row_count, len(per_symbol), dict(nulls), first, len(per_symbol) - len(first))
+
+
 def _show_empty(spark: SparkSession, role: str, fmt: str) -> None:
     empty = version_table(role, 0)
     spark.sql(create_table_sql(empty, SILVER_12, fmt, partition=SERVING_PARTITION))
     if spark.table(empty).head(1):
         raise PublishError(f"{empty} has to stay empty but holds rows")
-    _declare_sort_key(spark, empty)
     point_view(spark, role, empty, SILVER_12.columns)
 
 
-def _declare_sort_key(spark: SparkSession, table: str) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{SORT_PROPERTY}' = '{SORT_KEY_TEXT}')")
-
-
 def _row_counts(spark: SparkSession, roles: TableRoles) -> tuple[int, int]:
     return spark.table(roles.serving).count(), spark.table(roles.staging).count()

@@ -6,11 +6,13 @@ twice. Publishing therefore always compares counts and fingerprints after the wr
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeweir.contracts import SILVER_12, TableRoles, check_identifier
+from tradeweir.errors import PipelineError
 
 
 @dataclass(frozen=True)
@@ -47,7 +49,7 @@ def jdbc_options(target: JdbcTarget, table: str) -> dict[str, str]:
 
 
 def partitioned_read_options(low: int, high: int, tasks: int) -> dict[str, str]:
-    """Split a JDBC scan into ranges of ``kafka_offset``; rows outside the bounds still come."""
+    """Even steps of ``kafka_offset`` for a caller who knows its bounds; rows outside of them still come."""
     return {
         "partitionColumn": "kafka_offset",
         "lowerBound": str(low),
@@ -56,15 +58,50 @@ def partitioned_read_options(low: int, high: int, tasks: int) -> dict[str, str]:
     }
 
 
+def equal_ranges(silver: DataFrame, column: str, tasks: int, error: float = 0.001) -> list[str]:
+    """SQL conditions that cut a copy of ``silver`` into ranges of about equally many rows, one for each connection.
+
+    The cuts are quantiles of the pinned source, which the cluster reads in parallel, so gaps and hot stretches of the column
+    do not make one connection slow as even steps from least to greatest would. Together the conditions are true of
+    every row once; a column with few values gives fewer ranges.
+    """
+    if tasks < 1:
+        raise PipelineError("a scan needs at least one connection")
+    check_identifier(column, 1)
+    if dict(silver.dtypes).get(column) not in ("int", "bigint"):
+        raise PipelineError(f"{column} is no whole number that ranges could be cut on")
+    steps = [i / tasks for i in range(1, tasks)]
+    cuts = sorted({int(x) for x in silver.approxQuantile(column, steps, error)}) if steps else []
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def count_statement(table: str) -> str:
+    """One row that the database counts by itself; no row of the table travels."""
+    return f"SELECT COUNT(*) AS row_count FROM {check_identifier(table)}"
+
+
 def read_copy(
     spark: SparkSession,
     target: JdbcTarget,
     table: str,
-    split: dict[str, str] | None = None,
+    ranges: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Scan the copy, over several connections when ``split`` is given."""
-    options = {**jdbc_options(target, table), **(split or {})}
-    return spark.read.format("jdbc").options(**options).load()
+    """Scan the copy, over one connection for each of ``ranges``."""
+    options = jdbc_options(target, table)
+    if not ranges:
+        return spark.read.format("jdbc").options(**options).load()
+    login = {k: options[k] for k in ("driver", "user", "password")}
+    return spark.read.jdbc(target.url, options["dbtable"], predicates=list(ranges), properties=login)
+
+
+def count_copy(spark: SparkSession, target: JdbcTarget, table: str) -> int:
+    """Rows of the copy, counted by the database."""
+    options = jdbc_options(target, table)
+    del options["dbtable"]
+    return int(spark.read.format("jdbc").options(**options, query=count_statement(table)).load().first()[0])
 
 
 def append_copy(silver: DataFrame, target: JdbcTarget, table: str, **tuning: int) -> None:
