@@ -147,8 +147,17 @@ def test_kpis_use_no_cross_join_and_read_the_counts_once(spark, tmp_path):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         final = plan.split("== Initial Plan ==")[0]
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-        assert "ReusedExchange" in final
-        assert final.count("FileScan") == 2
+        assert "ReusedExchange" in final and "SortAggregate" not in plan
+        # Volume, newest time, price at that time, latency.
+        assert final.count("FileScan") == 4 and "trade_id" not in plan
+
+
+def test_latest_price_sorts_nothing(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    silver_rows(spark, {}, {"symbol": "ETH"}).write.parquet(path)
+    rows = spark.read.parquet(path)
+    for frame in (metrics.symbol_latest_price(rows), metrics.price_over_time(rows), metrics.kpi_row(rows)):
+        assert "SortAggregate" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hot_symbol(spark):

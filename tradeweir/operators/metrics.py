@@ -29,10 +29,28 @@ def notional_volume() -> Column:
     return F.sum("notional").cast("decimal(38,18)").alias("notional_volume")
 
 
-def latest_price() -> Column:
-    """Aggregate for the latest price of a group (M3)."""
-    newest = F.max(F.struct("event_time", "kafka_partition", "kafka_offset", "price"))
-    return newest.getField("price").alias("latest_price")
+def latest_price(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Latest price of every group of ``keys`` (M3), by hash aggregates only.
+
+    The newest time of each group comes first; rows of that time, which are few, are then reduced to one price for each
+    position, and to the price of the greatest position. Where the times of all groups are small, as those of symbols are,
+    Spark broadcasts them and no trade is shuffled.
+    """
+    named = [f"_of_{k}" for k in keys]
+    newest = silver.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)]).agg(
+        F.max("event_time").alias("_newest")
+    )
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip([*keys, "event_time"], [*named, "_newest"], strict=True)]
+    narrow = silver.select(*keys, "event_time", _position().alias("_position"), "price")
+    placed = narrow.join(newest, _all(same)).groupBy(*keys, "_position").agg(F.max("price").alias("price"))
+    return placed.groupBy(*keys).agg(F.max_by("price", "_position").alias("latest_price"))
+
+
+def _position() -> Column:
+    """Partition and offset as one whole number that orders like the pair; unknown ones come first."""
+    partition = F.coalesce(F.col("kafka_partition"), F.lit(-1)).cast("decimal(10,0)")
+    offset = F.coalesce(F.col("kafka_offset"), F.lit(-1)).cast("decimal(19,0)")
+    return partition * F.lit(str(10**19)).cast("decimal(20,0)") + offset
 
 
 def minute_of(moment: str = "event_time") -> Column:
@@ -76,15 +94,14 @@ def kpi_row(silver: DataFrame) -> DataFrame:
 def context_kpis(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The four KPIs of every group of ``keys``.
 
-    Two reads: one for count, volume and latest price, whose groups are reduced before the
-    shuffle, and one of ``keys`` and ``latency_ms`` alone for the exact median.
+    Each part reads only its own columns, and groups are reduced before every shuffle.
     """
-    totals = silver.groupBy(*keys).agg(trade_count(), notional_volume(), latest_price())
-    medians = median_latency(silver, keys)
-    # Each side has one row per group, so grouping their union joins them: null-safe, without a
+    totals = silver.groupBy(*keys).agg(trade_count(), notional_volume())
+    parts = totals.unionByName(latest_price(silver, keys), allowMissingColumns=True)
+    parts = parts.unionByName(median_latency(silver, keys), allowMissingColumns=True)
+    # Each part has one row per group, so grouping their union joins them: null-safe, without a
     # join, and the same with no keys at all.
-    both = totals.unionByName(medians, allowMissingColumns=True)
-    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
+    return parts.groupBy(*keys).agg(*[F.max(c).alias(c) for c in parts.columns if c not in keys])
 
 
 def median_latency(
@@ -102,7 +119,7 @@ def median_latency(
 
 def symbol_latest_price(silver: DataFrame) -> DataFrame:
     """Latest price of each symbol (M3)."""
-    return silver.groupBy("symbol").agg(latest_price())
+    return latest_price(silver, ["symbol"])
 
 
 def symbol_comparison(silver: DataFrame) -> DataFrame:
@@ -122,7 +139,7 @@ def notional_per_minute(silver: DataFrame) -> DataFrame:
 
 def price_over_time(silver: DataFrame) -> DataFrame:
     """Latest price of every symbol and minute (M7)."""
-    return silver.groupBy("symbol", minute_of()).agg(latest_price())
+    return latest_price(silver.withColumn("minute", minute_of()), ["symbol", "minute"])
 
 
 def latency_over_time(silver: DataFrame) -> DataFrame:
