@@ -10,16 +10,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables
-from tradeweir.contracts import BRONZE_13, BRONZE_15, SILVER_12, TableRoles, create_table_sql
-from tradeweir.operators import audit, fingerprint, metrics, producer, profile, quality
+from tradeweir.contracts import (
+    BRONZE_13,
+    BRONZE_15,
+    MONEY,
+    SERVING_SORT_KEY,
+    SILVER_12,
+    TableRoles,
+    create_table_sql,
+)
+from tradeweir.functions.money import try_exact_product, unfit_notionals
+from tradeweir.operators import audit, fingerprint, metrics, order, producer, profile, quality
 from tradeweir.operators.silver import build_silver
 from tradeweir.plans import append, compact, inspect, migrate, publish, rebuild
 from tradeweir.session import require_runtime, scratch_database, scratch_folder
 from tradeweir.sources import feed as feeds
-from tradeweir.sources.kafka import file_batch, file_stream
-from tradeweir.sources.snapshots import commit_version, read_version
-from tradeweir.streaming.bronze import run_bronze_stream
-from tradeweir.streaming.minutes import minute_metrics
+from tradeweir.sources.kafka import file_batch, file_source
+from tradeweir.sources.snapshots import commit_version, read_version, version_table
+from tradeweir.streaming.bronze import COUNTS, run_bronze_stream
+from tradeweir.streaming.dedup import start_dedup
+from tradeweir.streaming.minutes import open_minutes, start_minutes
+from tradeweir.streaming.progress import batch_counts, observed_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +38,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 FILTER_SYMBOLS = ["click", "purchase", "view"]
 FILTER_START = datetime(2024, 1, 8)
 FILTER_END = datetime(2024, 1, 22, 12, 30)
+# Streams with late rows: how late is allowed, and where the feed is cut into runs.
+LATE_BY = "2 days"
+CUTS = ("2024-01-11", "2024-01-21")
+FRESH_AT = datetime(2025, 1, 1)
 
 
 def portable(frame: DataFrame, *as_text: str) -> DataFrame:
@@ -91,19 +106,27 @@ def bronze_migrated_mix(spark, sf_dir):
     _unbroken(spark, sf_dir, feeds.event_trades).write.insertInto(roles.bronze)
     migrate.migrate_bronze(spark, roles.bronze, roles)
     tables.bronze(spark, sf_dir, "lineitem").write.insertInto(roles.bronze)
+    return portable(spark.table(roles.bronze), "event_time_ms", "ingested_at_ms", "is_valid")
+
+
+def bronze_classify_faults(spark, sf_dir):
+    """Every kind of fault, several at once among them."""
+    require_runtime(spark)
     return portable(
-        spark.table(roles.bronze).select(
-            "exchange",
-            "trade_id",
-            "kafka_partition",
-            "kafka_offset",
-            "is_valid",
-            "validation_errors",
-        ),
-        "is_valid",
+        quality.classify(feeds.fault_feed(spark, sf_dir)),
+        "event_time_ms",
+        "ingested_at_ms",
+        "kafka_partition",
+        "kafka_offset",
     )
 
 
+def fault_label_counts(spark, sf_dir):
+    """All eighteen labels."""
+    require_runtime(spark)
+    return quality.label_counts(quality.classify(feeds.fault_feed(spark, sf_dir)))
+
+
 def trades_parse_strict(spark, sf_dir):
     return portable(_unbroken(spark, sf_dir, feeds.event_trades))
 
@@ -137,6 +160,25 @@ def silver_notional_reference(spark, sf_dir):
     return _notional(spark, sf_dir, "reference")
 
 
+def wide_notional(spark, sf_dir):
+    """Products of operands with up to 20 whole digits or 18 decimals; null where no exact product fits."""
+    rows = _wide_bronze(spark, sf_dir)
+    product = try_exact_product(F.col("price"), F.col("quantity"))
+    return portable(rows.select("trade_id", "price", "quantity", product.alias("notional")))
+
+
+def wide_silver(spark, sf_dir):
+    """Silver, in exact mode, of the wide rows that have an exact product."""
+    rows = _wide_bronze(spark, sf_dir)
+    unfit = unfit_notionals(rows).select("trade_id")
+    return portable(build_silver(rows.join(unfit, "trade_id", "left_anti").select(*BRONZE_15.columns)))
+
+
+def unfit_rows(spark, sf_dir):
+    """The wide rows that a rebuild in exact mode would fail on, and why."""
+    return portable(unfit_notionals(_wide_bronze(spark, sf_dir)).select("trade_id", "price", "quantity", "problem"))
+
+
 def silver_rebuild(spark, sf_dir):
     """Two rebuilds over the same Bronze; the current version is returned."""
     require_runtime(spark)
@@ -209,7 +251,7 @@ def except_all_diff(spark, sf_dir):
     diff = fingerprint.except_all_diff(
         tables.silver(spark, sf_dir), tables.silver(spark, sf_dir, mode="reference")
     )
-    return portable(diff.select("side", "trade_id", "notional"))
+    return portable(diff)
 
 
 # Metrics
@@ -344,7 +386,43 @@ def stream_restart(spark, sf_dir):
     _drain(spark, source, checkpoint, roles)
     tables.records(spark, sf_dir, "lineitem").write.mode("append").parquet(source)
     _drain(spark, source, checkpoint, roles)
-    return bronze_text(spark.table(roles.bronze).drop("raw_json"))
+    return bronze_text(spark.table(roles.bronze))
+
+
+def stream_label_counts(spark, sf_dir):
+    """Rows, valid rows and rows with each label, as the stream's own progress counts them."""
+    require_runtime(spark)
+    roles, source, checkpoint = _stream_setup(spark)
+    feeds.fault_feed(spark, sf_dir).write.parquet(source)
+    query = _drain(spark, source, checkpoint, roles)
+    counts = observed_totals(query, COUNTS)
+    return spark.createDataFrame(sorted(counts.items()), "label string, row_count long")
+
+
+def stream_dedup(spark, sf_dir):
+    """First rows of each key from a feed that repeats rows within and beyond the watermark."""
+    folder, _ = _dedup_runs(spark, sf_dir)
+    return portable(spark.read.schema(SILVER_12.schema).parquet(folder))
+
+
+def stream_dedup_counts(spark, sf_dir):
+    """Per run: rows that came, late ones, repeats, and keys still remembered."""
+    _, counts = _dedup_runs(spark, sf_dir)
+    return spark.createDataFrame(counts, "run int, rows_in long, late long, repeats long, state_rows long")
+
+
+def stream_late_minutes(spark, sf_dir):
+    """Minutes of a stream whose second run brings rows behind the watermark, final and still open ones."""
+    final, still_open, _ = _minute_runs(spark, sf_dir)
+    state = lambda frame, name: frame.withColumn("state", F.lit(name))
+    return portable(state(final, "final").unionByName(state(still_open, "open")))
+
+
+def stream_late_counts(spark, sf_dir):
+    """Rows that came to that stream, and those that its minutes count; the rest was late."""
+    final, still_open, rows_in = _minute_runs(spark, sf_dir)
+    counted = final.unionByName(still_open).agg(F.sum("trade_count").alias("counted"))
+    return counted.select(F.lit(rows_in).cast("long").alias("rows_in"), "counted", (F.lit(rows_in) - F.col("counted")).cast("long").alias("late"))
 
 
 def archive_batch(spark, sf_dir):
@@ -356,26 +434,15 @@ def archive_batch(spark, sf_dir):
 
 
 def stream_minute_metrics(spark, sf_dir):
-    """Minute metrics by a stream; a final far-off row closes the last open minutes."""
+    """Minute metrics by a stream: final minutes from its sink, open ones from its state."""
     require_runtime(spark)
     source, folder = scratch_folder(spark, "silver"), scratch_folder(spark, "minutes")
-    rows = tables.silver(spark, sf_dir)
-    rows.write.parquet(source)
-    query = (
-        minute_metrics(spark.readStream.schema(SILVER_12.schema).parquet(source), "60 days")
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{folder}-checkpoint")
-        .trigger(availableNow=True)
-    )
-    query.start(folder).awaitTermination()
-    newest = rows.agg(F.max(F.struct("event_time", *rows.drop("event_time").columns)).alias("r"))
-    ahead = newest.select("r.*").select(*SILVER_12.columns).withColumns(
-        {"symbol": F.lit("closer"), "event_time": F.expr("event_time + INTERVAL 10 YEARS")}
-    )
-    ahead.write.mode("append").parquet(source)
-    query.start(folder).awaitTermination()
-    return portable(spark.read.parquet(folder))
+    tables.silver(spark, sf_dir).write.parquet(source)
+    query = _minutes(spark, source, folder, "60 days")
+    query.awaitTermination()
+    still_open = open_minutes(spark, f"{folder}-checkpoint")
+    final = spark.read.schema(still_open.schema).parquet(folder)
+    return portable(final.unionByName(still_open))
 
 
 def table_inspection(spark, sf_dir):
@@ -393,6 +460,64 @@ def table_inspection(spark, sf_dir):
     return functools.reduce(DataFrame.union, parts)
 
 
+def table_files(spark, sf_dir):
+    """The listings' own rows: folders with their files and rows, of a table partitioned by symbol."""
+    require_runtime(spark)
+    roles = _roles(scratch_database(spark, "listed"))
+    version = commit_version(_by_symbol(spark, sf_dir), roles.silver, partition_by=["symbol"])
+    sections = inspect.inspect_table(spark, version_table(roles.silver, version))
+    files = sections["files"].where("file_size > 0").groupBy("folder").agg(
+        F.count("*").alias("files"), F.sum("row_count").alias("row_count")
+    )
+    parts = sections["partitions"].select(F.concat(F.lit("symbol="), "symbol", F.lit("/")).alias("folder"), F.col("row_count").alias("listed"))
+    return files.join(parts, "folder")
+
+
+def table_versions(spark, sf_dir):
+    """Snapshots and history rows of a table with three versions, newest first."""
+    require_runtime(spark)
+    roles = _roles(scratch_database(spark, "versions"))
+    ids = [commit_version(tables.silver(spark, sf_dir), roles.silver) for _ in range(3)]
+    numbers = spark.createDataFrame([(v, i) for i, v in enumerate(ids)], "snapshot_id long, version int")
+    sections = inspect.inspect_table(spark, roles.silver)
+    listed = sections["history"].join(sections["snapshots"].select("snapshot_id"), "snapshot_id").join(numbers, "snapshot_id")
+    return listed.select("version", "is_current_ancestor")
+
+
+def serving_order(spark, sf_dir):
+    """Rows of each month of the serving layout, and files found out of order: none as laid out, all if rewritten."""
+    require_runtime(spark)
+    folder, other = scratch_folder(spark, "layout"), scratch_folder(spark, "rewritten")
+    laid_out = publish.serving_layout(tables.silver(spark, sf_dir, "lineitem"))
+    laid_out.write.partitionBy("event_month").parquet(folder)
+    stored = spark.read.schema(laid_out.schema).parquet(folder)
+    backwards = stored.repartition("event_month").sortWithinPartitions("event_month", *[F.desc(c) for c in SERVING_SORT_KEY])
+    backwards.write.partitionBy("event_month").parquet(other)
+    rewritten = spark.read.schema(laid_out.schema).parquet(other)
+    counts = []
+    for name, frame in (("laid out", stored), ("rewritten", rewritten)):
+        wrong = order.unsorted_files(frame, SERVING_SORT_KEY).withColumnRenamed("file_path", "wrong")
+        months = frame.select("event_month", F.col("_metadata.file_path").alias("file")).distinct()
+        found = months.join(wrong, F.col("file") == F.col("wrong"), "left").groupBy("event_month").agg(F.max(F.col("wrong").isNotNull()).alias("unsorted"))
+        counts.append(found.select(F.lit(name).alias("layout"), "event_month", "unsorted"))
+    return counts[0].union(counts[1])
+
+
+def released_versions(spark, sf_dir):
+    """Three publications, then a rollback: versions that are left, and rows served before and after it."""
+    require_runtime(spark)
+    roles = _roles(scratch_database(spark, "released"))
+    for feed in ("lineitem", "events", "lineitem"):
+        commit_version(tables.silver(spark, sf_dir, feed), roles.silver)
+        publish.publish(spark, roles.silver, roles)
+    namespace = roles.staging.rpartition(".")[0]
+    left = [t.name for t in spark.catalog.listTables(namespace) if "__v" in t.name and "staging__v" in t.name and not t.name.endswith("__v0")]
+    served = spark.table(roles.serving).count()
+    publish.exchange(spark, roles)
+    back = spark.table(roles.serving).count()
+    return spark.createDataFrame([(len(left), served, back)], "versions long, served long, rolled_back long")
+
+
 # Extras
 
 
@@ -410,7 +535,7 @@ def offset_gaps(spark, sf_dir):
 
 
 def newest_event(spark, sf_dir):
-    return portable(audit.freshness(tables.silver(spark, sf_dir)).drop("age_ms"))
+    return portable(audit.freshness(tables.silver(spark, sf_dir), FRESH_AT))
 
 
 def compacted(spark, sf_dir):
@@ -421,6 +546,25 @@ def compacted(spark, sf_dir):
     return portable(spark.table(roles.silver))
 
 
+def compacted_files(spark, sf_dir):
+    """Files of each folder of a partitioned table before and after compaction, and rows in order after it."""
+    require_runtime(spark)
+    roles = _roles(scratch_database(spark, "compacted"))
+    key = ["event_time", "trade_id"]
+    versions = [commit_version(_by_symbol(spark, sf_dir), roles.silver, partition_by=["symbol"])]
+    versions.append(compact.compact(spark, roles.silver, sort_by=key))
+    versions.append(compact.compact(spark, roles.silver, sort_by=key))  # nothing left to do
+    assert versions[1] == versions[2]
+    frames = []
+    for name, version in zip(("before", "after"), versions, strict=False):
+        stored = version_table(roles.silver, version)
+        plan = compact.compaction_plan(spark, stored).select("folder", "files", "target_files", "small")
+        rows = spark.table(stored).groupBy(F.concat(F.lit("symbol="), "symbol", F.lit("/")).alias("folder")).agg(F.count("*").alias("row_count"))
+        frames.append(plan.join(rows, "folder").withColumn("state", F.lit(name)))
+    wrong = order.unsorted_files(spark.table(version_table(roles.silver, versions[1])), key).count()
+    return frames[0].union(frames[1]).withColumn("out_of_order", F.lit(wrong).cast("long") * F.when(F.col("state") == "after", 1).otherwise(0))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -430,12 +574,17 @@ QUERIES: dict[str, Query] = {
         bulk_label_counts,
         bronze_validity_summary,
         bronze_migrated_mix,
+        bronze_classify_faults,
+        fault_label_counts,
         trades_parse_strict,
         quality_append,
         silver_trades,
         bulk_silver_trades,
         silver_notional_exact,
         silver_notional_reference,
+        wide_notional,
+        wide_silver,
+        unfit_rows,
         silver_rebuild,
         null_counts,
         row_and_symbol_summary,
@@ -472,13 +621,23 @@ QUERIES: dict[str, Query] = {
         stream_bronze_append,
         stream_restart,
         archive_batch,
+        stream_label_counts,
+        stream_dedup,
+        stream_dedup_counts,
         stream_minute_metrics,
+        stream_late_minutes,
+        stream_late_counts,
         table_inspection,
+        table_files,
+        table_versions,
+        serving_order,
+        released_versions,
         quarantine,
         dedup_business_key,
         offset_gaps,
         newest_event,
         compacted,
+        compacted_files,
     )
 }
 
@@ -499,7 +658,7 @@ def _unbroken(spark, sf_dir, trades) -> DataFrame:
 
 
 def _notional(spark, sf_dir, mode) -> DataFrame:
-    return portable(tables.silver(spark, sf_dir, mode=mode).select("trade_id", "notional"))
+    return portable(tables.silver(spark, sf_dir, mode=mode))
 
 
 def _earliest(spark, sf_dir) -> DataFrame:
@@ -558,13 +717,81 @@ def _stream_setup(spark) -> tuple[TableRoles, str, str]:
     return roles, scratch_folder(spark, "records"), scratch_folder(spark, "checkpoint")
 
 
-def _drain(spark, source, checkpoint, roles) -> None:
-    run_bronze_stream(
+def _drain(spark, source, checkpoint, roles):
+    query = run_bronze_stream(
         spark,
-        file_stream(spark, source),
+        file_source(source),
         roles.bronze,
         checkpoint,
         roles,
         fmt="parquet",
         available_now=True,
-    ).awaitTermination()
+    )
+    query.awaitTermination()
+    return query
+
+
+def _silver_stream(spark, source) -> DataFrame:
+    return spark.readStream.schema(SILVER_12.schema).parquet(source)
+
+
+def _dedup_runs(spark, sf_dir) -> tuple[str, list[tuple]]:
+    """Three runs: rows before the first cut; rows up to the second, and the first ones again; the rest, and the
+    first ones with event times 15 days on. Returns the sink and each run's counts."""
+    require_runtime(spark)
+    source, folder = scratch_folder(spark, "silver"), scratch_folder(spark, "unique")
+    rows = tables.silver(spark, sf_dir)
+    first, second = (F.lit(c).cast("timestamp") for c in CUTS)
+    early = rows.where(F.col("event_time") < first)
+    later = early.withColumn("event_time", F.expr("event_time + INTERVAL 15 DAYS"))
+    runs = (
+        early,
+        rows.where((F.col("event_time") >= first) & (F.col("event_time") < second)).union(early),
+        rows.where(F.col("event_time") >= second).union(later),
+    )
+    counts = []
+    for number, batch in enumerate(runs, 1):
+        batch.write.mode("append").parquet(source)
+        query = start_dedup(_silver_stream(spark, source), folder, f"{folder}-checkpoint", LATE_BY, available_now=True)
+        query.awaitTermination()
+        seen = batch_counts(query)
+        sums = [sum(getattr(b, name) for b in seen) for name in ("rows_in", "late", "repeats")]
+        counts.append((number, *sums, seen[-1].state_rows))
+    return folder, counts
+
+
+def _minutes(spark, source, folder, late_by):
+    return start_minutes(_silver_stream(spark, source), folder, f"{folder}-checkpoint", late_by, available_now=True)
+
+
+def _minute_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame, int]:
+    """Two thirds of the rows, then the others. Final minutes, open minutes, and rows that came."""
+    require_runtime(spark)
+    source, folder = scratch_folder(spark, "silver"), scratch_folder(spark, "minutes")
+    rows, rows_in = tables.silver(spark, sf_dir), 0
+    other = F.col("trade_id").cast("long") % 3 == 0
+    for batch in (rows.where(~other), rows.where(other)):
+        batch.write.mode("append").parquet(source)
+        query = _minutes(spark, source, folder, LATE_BY)
+        query.awaitTermination()
+        rows_in += observed_totals(query, "minutes_in")["row_count"]
+    still_open = open_minutes(spark, f"{folder}-checkpoint")
+    return spark.read.schema(still_open.schema).parquet(folder), still_open, rows_in
+
+
+def _by_symbol(spark, sf_dir) -> DataFrame:
+    """Silver in six files for each symbol."""
+    rows = tables.silver(spark, sf_dir)
+    return rows.repartition(6).select(*[c for c in rows.columns if c != "symbol"], "symbol")
+
+
+def _wide_bronze(spark, sf_dir) -> DataFrame:
+    """Valid Bronze rows with very large and very finely cut operands, made of the events' own numbers."""
+    rows = tables.bronze(spark, sf_dir).where("is_valid AND kafka_offset IS NOT NULL")
+    number = F.col("trade_id").cast("long")
+    digits = (number * 7919) % 1_000_003 + 1
+    other = (number * 104_729) % 999_983 + 1
+    shifted = lambda value, by: F.concat(value.cast("string"), F.lit("E"), by.cast("string")).cast(MONEY)
+    price = shifted(digits, number % 21 - 8)
+    quantity = shifted(other, number % 17 - 12)
+    return rows.withColumn("price", price).withColumn("quantity", quantity).select(*BRONZE_15.columns)

@@ -13,9 +13,11 @@ from tradeweir.session import require_runtime, scratch_folder
 from tradeweir.sources.feed import bulk_feed, raw_feed
 from tradeweir.sources.kafka import file_batch
 
+# Parts of the larger feed, as an archive has many files; the caller's choice, whatever the size of the table.
+FILES = 8
 FEEDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events": raw_feed,
-    "lineitem": bulk_feed,
+    "lineitem": lambda spark, sf_dir: bulk_feed(spark, sf_dir, FILES),
 }
 _written: dict[tuple, str] = {}
 

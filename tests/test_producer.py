@@ -16,16 +16,16 @@ from tradeweir.operators.producer import (
 )
 from tradeweir.operators.quality import classify
 
-DATA = {"s": "BTCUSDT", "t": 12345, "p": "68250.12", "q": "0.015", "T": 1735689600123}
+DATA = {"s": "ACMEUR", "t": 7001, "p": "417.25", "q": "2.75", "T": 1718000000250}
 
 
 def _messages(spark, *texts):
-    return spark.createDataFrame([(t, 1735689600456) for t in texts], "message string, ingested_at_ms bigint")
+    return spark.createDataFrame([(t, 1718000000700) for t in texts], "message string, ingested_at_ms bigint")
 
 
 def _envelope(**changes):
     data = {k: v for k, v in {**DATA, **changes}.items() if v is not ...}
-    return json.dumps({"stream": "btcusdt@trade", "data": data})
+    return json.dumps({"stream": "acmeur@trade", "data": data})
 
 
 def _events(spark, *changes):
@@ -34,10 +34,10 @@ def _events(spark, *changes):
 
 
 def test_envelope(spark):
-    out = normalise_envelope(_messages(spark, _envelope()))
+    out = normalise_envelope(_messages(spark, _envelope()), exchange="northex")
     assert out.schema.simpleString() == TRADE_EVENT.schema.simpleString()
     assert out.first().asDict() == EVENT
-    with_extra = normalise_envelope(_messages(spark, _envelope(m=True, E=1, t="77")))
+    with_extra = normalise_envelope(_messages(spark, _envelope(m=True, E=1, t="77")), exchange="northex")
     assert with_extra.first().trade_id == "77"
 
 
@@ -59,11 +59,11 @@ BROKEN = [
 @pytest.mark.parametrize("text", BROKEN)
 def test_strict_envelope_fails(spark, text):
     with pytest.raises(PySparkException, match="not a trade message"):
-        normalise_envelope(_messages(spark, text)).collect()
+        normalise_envelope(_messages(spark, text), exchange="northex").collect()
 
 
 def test_safe_envelope_gives_nulls(spark):
-    out = normalise_envelope(_messages(spark, *BROKEN, _envelope()), strict=False).collect()
+    out = normalise_envelope(_messages(spark, *BROKEN, _envelope()), exchange="northex", strict=False).collect()
     assert len(out) == len(BROKEN) + 1
     assert [r.symbol for r in out[:9]] == [None] * 9
     assert all(None in tuple(r) for r in out[:-1]) and out[-1].asDict() == EVENT
@@ -89,13 +89,13 @@ def test_event_model(spark):
 
 def test_encoding(spark):
     row = encode_for_kafka(_events(spark, {})).first()
-    assert row.key == "binance:BTCUSDT"
+    assert row.key == "northex:ACMEUR"
     assert row.value == json.dumps(EVENT, separators=(",", ":"))
     typed = _events(spark, {}, {"price": "10", "quantity": "0.5000"}).withColumns(
         {c: F.col(c).cast("decimal(38,18)") for c in ("price", "quantity")}
     )
     first, second = (json.loads(r.value) for r in encode_for_kafka(typed).collect())
-    assert (first["price"], first["quantity"]) == ("68250.12", "0.015")
+    assert (first["price"], first["quantity"]) == ("417.25", "2.75")
     assert (second["price"], second["quantity"]) == ("10", "0.5")
 
 
@@ -114,7 +114,7 @@ def test_encoded_events_classify_as_valid(spark):
 
 def test_symbol_list(spark):
     frame = _events(spark, {}, {"symbol": "XRP"})
-    assert [r.symbol for r in allow_symbols(frame, ["BTCUSDT", "ETHUSDT"]).collect()] == ["BTCUSDT"]
+    assert [r.symbol for r in allow_symbols(frame, ["ACMEUR", "BETAUSD"]).collect()] == ["ACMEUR"]
     with pytest.raises(PipelineError):
         allow_symbols(frame, [])
 

@@ -34,7 +34,7 @@ CASES = {
     "bad price": ({"value": event_json(price="not-a-decimal")}, ["INVALID_PRICE"]),
     "bad quantity": ({"value": event_json(quantity="not-a-decimal")}, ["INVALID_QUANTITY"]),
     "zero price": ({"value": event_json(price="0")}, ["NON_POSITIVE_PRICE"]),
-    "negative quantity": ({"value": event_json(quantity="-0.015")}, ["NON_POSITIVE_QUANTITY"]),
+    "negative quantity": ({"value": event_json(quantity="-2.75")}, ["NON_POSITIVE_QUANTITY"]),
     "identity": (
         {"value": event_json(exchange=None, symbol="   ", trade_id=None)},
         ["MISSING_EXCHANGE", "MISSING_SYMBOL", "MISSING_TRADE_ID"],
@@ -113,7 +113,7 @@ def test_values_and_audit_columns_survive(spark):
         )
     ).collect()
     assert (bad.raw_json, bad.kafka_offset, bad.symbol, bad.price) == ("{bad-json", 1, None, None)
-    assert good.kafka_key == "custom-key" and str(good.price) == "68250.120000000000000000"
+    assert good.kafka_key == "custom-key" and str(good.price) == "417.250000000000000000"
     assert (good.event_time_ms, good.kafka_topic) == (EVENT["event_time_ms"], "market.trades.raw")
     assert str(price.price) == "1.000000000000000001"
 
@@ -213,7 +213,7 @@ def test_not_evaluated_is_a_third_state(spark):
 def test_strict_parse_types_and_failure(spark):
     out = parse_trades(kafka_rows(spark, {}))
     BRONZE_13.require(out)
-    assert str(out.first().quantity) == "0.015000000000000000"
+    assert str(out.first().quantity) == "2.750000000000000000"
     with pytest.raises(PySparkException):
         parse_trades(kafka_rows(spark, {"value": event_json(price="oops")})).collect()
 

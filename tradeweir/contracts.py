@@ -172,11 +172,11 @@ def bronze_state(schema: StructType) -> BronzeState:
 class TableRoles:
     """Which table each job may touch (C6). Override the names per deployment."""
 
-    bronze: str = "market_catalog.market.bronze_trades"
-    silver: str = "market_catalog.market.silver_trades"
-    smoke: str = "market_catalog.market.bronze_trades_quality_smoke"
-    serving: str = "market_analytics.silver_trades"
-    staging: str = "market_analytics.silver_trades_staging"
+    bronze: str = "trades.bronze"
+    silver: str = "trades.silver"
+    smoke: str = "trades.bronze_smoke"
+    serving: str = "trades.serving"
+    staging: str = "trades.serving_staging"
 
     def __post_init__(self) -> None:
         names = [check_identifier(getattr(self, f.name)) for f in fields(self)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,9 +84,10 @@ def _steps(ranges: DataFrame, group: Sequence[str], order: str) -> DataFrame:
     )
 
 
-def freshness(silver: DataFrame) -> DataFrame:
-    """Newest event per symbol and its age in milliseconds at query time."""
-    age = F.unix_millis(F.current_timestamp()) - F.unix_millis(F.max("event_time"))
+def freshness(silver: DataFrame, now: datetime | None = None) -> DataFrame:
+    """Newest event per symbol and its age in milliseconds at ``now``, a UTC moment, or at query time."""
+    at = F.current_timestamp() if now is None else F.lit(f"{now:%Y-%m-%dT%H:%M:%S.%f}Z").cast("timestamp")
+    age = F.unix_millis(at) - F.unix_millis(F.max("event_time"))
     return silver.groupBy("symbol").agg(
         F.max("event_time").alias("newest_event"), age.alias("age_ms")
     )

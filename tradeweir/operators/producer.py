@@ -19,7 +19,6 @@ ENVELOPE_FIELDS = {
     "q": "quantity",
     "T": "event_time_ms",
 }
-EXCHANGE = "binance"
 
 _UNICODE_BLANKS = r"(?U)^\s+|\s+$"
 _TEXT_FIELDS = ("exchange", "symbol", "trade_id")
@@ -32,7 +31,7 @@ def normalise_envelope(
     text: str = "message",
     ingested_at_ms: str = "ingested_at_ms",
     *,
-    exchange: str = EXCHANGE,
+    exchange: str,
     strict: bool = True,
 ) -> DataFrame:
     """Captured combined-stream messages as trade event columns.

@@ -24,6 +24,27 @@ BREAKAGE = {
     "negative_price": 71,
 }
 
+# Further faults, so that every label and the odd kinds of payload occur.
+ALL_BREAKAGE = BREAKAGE | {
+    "blank_exchange": 67,
+    "no_trade_id": 61,
+    "no_price": 59,
+    "no_quantity": 53,
+    "bad_quantity": 47,
+    "zero_event_time": 43,
+    "no_ingested_at": 41,
+    "negative_ingested_at": 37,
+    "null_topic": 31,
+    "null_partition": 29,
+    "null_offset": 23,
+    "array": 101,
+    "scalar": 103,
+    "empty_object": 107,
+    "wrong_type": 109,
+    "nested": 113,
+    "three_at_once": 127,
+}
+
 
 def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as unbroken trade columns, one per row, with a running ``record_no``."""
@@ -55,8 +76,12 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as trade columns: the larger feed, with repeated business keys."""
+def lineitem_trades(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """``lineitem`` as trade columns: the larger feed, with repeated business keys.
+
+    A table of one row group is one task's scan. ``parts`` deals its rows out first, as records that come from
+    many files or partitions would be.
+    """
     items = scan_parquet(spark, f"{sf_dir}/lineitem.parquet").select(
         F.expr("l_orderkey * 8 + l_linenumber").alias("record_no"),
         "l_orderkey",
@@ -68,6 +93,7 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("l_partkey % 86400000").alias("ms_of_day"),
         F.expr("l_suppkey % 1000 - 100").alias("delay"),
     )
+    items = items if parts is None else items.repartition(parts)
     return items.select(
         "record_no",
         F.lit("bulk").alias("exchange"),
@@ -90,28 +116,36 @@ def as_kafka_records(trades: DataFrame, breakage: dict[str, int] | None = None)
     for name, prime in reversed(primes.items()):
         fault = F.when(F.col("record_no") % prime == 0, F.lit(name)).otherwise(fault)
     faulty = trades.withColumn("fault", fault)
-    body = F.to_json(
-        F.struct(
-            "exchange",
-            _unless("blank_symbol", F.lit("   "), F.col("symbol")).alias("symbol"),
-            "trade_id",
-            _unless(
-                "bad_price",
-                F.lit("not-a-decimal"),
-                _unless("negative_price", F.lit("-1"), F.col("price")),
-            ).alias("price"),
-            "quantity",
-            _unless("no_event_time", F.lit(None), F.col("event_time_ms")).alias("event_time_ms"),
-            "ingested_at_ms",
-        )
-    )
-    text = _unless("null_value", F.lit(None), _unless("malformed", F.lit("{not-json"), body))
+    nothing = F.lit(None)
+    fields = {
+        "exchange": {"blank_exchange": F.lit("")},
+        "symbol": {"blank_symbol": F.lit("   "), "three_at_once": F.lit(" ")},
+        "trade_id": {"no_trade_id": nothing},
+        "price": {"bad_price": F.lit("not-a-decimal"), "negative_price": F.lit("-1"), "no_price": nothing, "three_at_once": F.lit("0")},
+        "quantity": {"no_quantity": nothing, "bad_quantity": F.lit("1,5"), "three_at_once": F.lit("-0.5")},
+        "event_time_ms": {"no_event_time": nothing, "zero_event_time": F.lit(0).cast("long")},
+        "ingested_at_ms": {"no_ingested_at": nothing, "negative_ingested_at": F.lit(-5).cast("long")},
+    }
+    body = F.to_json(F.struct(*[_with_faults(primes, F.col(c), own).alias(c) for c, own in fields.items()]))
+    # A field of another type and an object in place of a number leave well-formed JSON; arrays and scalars are no trades.
+    whole = {
+        "malformed": F.lit("{not-json"),
+        "null_value": nothing,
+        "array": F.concat(F.lit("["), body, F.lit("]")),
+        "scalar": F.lit("42"),
+        "empty_object": F.lit("{}"),
+        "wrong_type": F.regexp_replace(body, '"event_time_ms":[0-9]+', '"event_time_ms":"soon"'),
+        "nested": F.regexp_replace(body, '"ingested_at_ms":[0-9]+', '"ingested_at_ms":{"at":1}'),
+    }
+    transport = {
+        "topic": _with_faults(primes, F.lit(TOPIC), {"null_topic": nothing}),
+        "partition": _with_faults(primes, F.col("kafka_partition"), {"null_partition": nothing}),
+        "offset": _with_faults(primes, F.col("kafka_offset"), {"null_offset": nothing}),
+    }
     return faulty.select(
         F.concat_ws(":", "exchange", "symbol").cast("binary").alias("key"),
-        text.cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        F.col("kafka_partition").alias("partition"),
-        F.col("kafka_offset").alias("offset"),
+        _with_faults(primes, body, whole).cast("binary").alias("value"),
+        *[value.alias(name) for name, value in transport.items()],
         F.col("kafka_timestamp").alias("timestamp"),
     )
 
@@ -121,11 +155,19 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_kafka_records(event_trades(spark, sf_dir))
 
 
-def bulk_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bulk_feed(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
     """The ``lineitem`` feed with its broken records."""
-    return as_kafka_records(lineitem_trades(spark, sf_dir))
+    return as_kafka_records(lineitem_trades(spark, sf_dir, parts))
+
+
+def fault_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` feed with every kind of fault."""
+    return as_kafka_records(event_trades(spark, sf_dir), ALL_BREAKAGE)
 
 
-def _unless(fault: str, replacement: Column, value: Column) -> Column:
-    """``value``, or ``replacement`` where the record has this fault (null: no fault)."""
-    return F.when(F.col("fault") == fault, replacement).otherwise(value)
+def _with_faults(primes: dict[str, int], value: Column, replacements: dict[str, Column]) -> Column:
+    """``value``, or what a fault in use puts in its place (null: no fault)."""
+    for fault, replacement in replacements.items():
+        if fault in primes:
+            value = F.when(F.col("fault") == fault, replacement).otherwise(value)
+    return value
