@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tradeweir.llm import cycles, turns, wavelet
+from tradeweir.llm import cycles, packing, tokens, turns, wavelet
 from tradeweir.llm.common import ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +65,14 @@ def test_tokens_come_back_from_files(spark, shard, part, tmp_path):
     assert set(found) >= {r.start + r.n_tokens - 1 for r in got} and len(found) == every[2]
 
 
+def test_pieces_of_a_text_in_parts(spark):
+    text = long_text(4000)
+    frame = spark.createDataFrame([(1, text), (2, "short"), (3, None)], "doc_id long, text string")
+    order = ["doc_id", "piece"]
+    whole, parts = (packing.pieces(frame, TOKENIZER, 500, part=n).orderBy(*order).collect() for n in (1 << 20, 150))
+    assert whole == parts and len(whole) > 10
+
+
 def test_no_documents_no_files(spark):
     manifest = wavelet.write_shards(spark.createDataFrame([], DOCS), TOKENIZER)
     assert manifest.count() == 0 and wavelet.read_documents(manifest).count() == 0
@@ -73,10 +81,10 @@ def test_no_documents_no_files(spark):
 def test_parts_of_a_long_text_have_the_ids_of_the_whole():
     text = long_text(4000)
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    parts = list(wavelet.text_parts(text, 100))
+    parts = list(tokens.text_parts(text, 100))
     assert "".join(parts) == text and len(parts) > 50
     assert [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids] == tokenizer.encode(text, add_special_tokens=False).ids
-    assert list(wavelet.text_parts("x" * 500, 100)) == ["x" * 500]
+    assert list(tokens.text_parts("x" * 500, 100)) == ["x" * 500]
 
 
 @pytest.mark.parametrize("n,kinds,block", [(1, 1, 64), (5000, 1, 64), (5000, 2, 512), (4097, 700, 512), (3000, 70000, 1024)])

@@ -9,8 +9,8 @@ receives the best solution of its neighbour. The worst-filled bins of a block ar
 packed together with those of seven other blocks, level by level, until one group is left, so that
 badly filled bins do not add up with the number of blocks.
 
-Defined results: a null or empty text is the end id alone; equal rows are packed separately; other columns
-are ignored. Only lengths are shuffled, never texts or ids.
+Defined results: a null or empty text is the end id alone; equal rows are packed separately; a long text is encoded in
+parts that end where the tokenizer ends a word; other columns are ignored. Only lengths are shuffled, never texts or ids.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeweir.llm.common import id_and_text, passes, stored
-from tradeweir.llm.tokens import vocabulary
+from tradeweir.llm.tokens import PART, text_parts, vocabulary
 
 CAPACITY = 2048
 BLOCK = 4096
@@ -38,18 +38,22 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False, part: int = PART
 ) -> DataFrame:
-    """Pieces of every document; ``with_ids`` adds their ids as a binary column."""
+    """Pieces of every document; ``with_ids`` adds their ids as a binary column. Texts of over ``part`` characters are encoded in parts."""
     end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(tokenizer)
         for batch in passes(batches):
-            all_ids, of = vocab.ids([text or "" for text in batch.column(1).to_pylist()])
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            all_ids, of = vocab.ids([text if len(text) <= part else "" for text in texts])
             out = []
             for i, doc in enumerate(batch.column(0).to_pylist()):
-                ids = np.concatenate((all_ids[of[i] : of[i + 1]], end)).astype("<u4")
+                own = [all_ids[of[i] : of[i + 1]]]
+                if len(texts[i]) > part:
+                    own = [vocab.ids([p])[0] for p in text_parts(texts[i], part)]
+                ids = np.concatenate((*own, end)).astype("<u4")
                 first = len(ids) - (len(ids) - 1) // capacity * capacity
                 bounds = [0, *range(first, len(ids) + 1, capacity)]
                 for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):

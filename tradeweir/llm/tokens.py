@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -24,9 +25,24 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # slot, until so many ids are stored. It changes speed, not results.
 SLOTS = 1 << 20
 REMEMBERED = 4_000_000
+PART = 1 << 20  # characters of a text that are encoded at a time
+# Between a letter and what is not a letter a word always ends; the bar is left out because a special token holds it.
+_CUT = regex.compile(r"(?<=\p{L})[^\p{L}|]")
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 
 
+def text_parts(text: str, size: int = PART) -> Iterator[str]:
+    """A text in parts of about ``size`` characters; their ids in a row are the text's."""
+    at = 0
+    while len(text) - at > size:
+        found = _CUT.search(text, at + size)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
+
+
 def _bytes_of() -> dict[str, int]:
     """The printable character that stands for each byte in the vocabulary file, by the public rule."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]

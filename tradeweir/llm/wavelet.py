@@ -26,7 +26,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -34,16 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeweir.llm.common import id_and_text, passes, stored
-from tradeweir.llm.tokens import Vocabulary
+from tradeweir.llm.tokens import PART, Vocabulary, text_parts
 from tradeweir.session import scratch_folder
 
 MAGIC = b"WAVMAT01"
 SHARD = 1 << 20
 BLOCK = 1 << 15
-PART = 1 << 20  # characters of a text that are encoded at a time
 _MANIFEST = "part int, seq int, path string, n_tokens long, n_docs long, carried long"
-# Between a letter and what is not a letter a word always ends; the bar is left out because a special token holds it.
-_CUT = regex.compile(r"(?<=\p{L})[^\p{L}|]")
 
 
 class _Library:
@@ -65,18 +61,6 @@ def _vocabulary(path: str) -> Vocabulary:
     return vocabulary
 
 
-def text_parts(text: str, size: int = PART) -> Iterator[str]:
-    """A text in parts of about ``size`` characters; their ids in a row are the text's."""
-    at = 0
-    while len(text) - at > size:
-        found = _CUT.search(text, at + size)
-        if found is None:
-            break
-        yield text[at : found.start()]
-        at = found.start()
-    yield text[at:]
-
-
 # ---- the file
 
 
