@@ -1,5 +1,6 @@
 """Operators 6, 7, 8 and 10 and the pipeline against plain Python, and on rows that are odd."""
 
+import hashlib
 import math
 import random
 import re
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.test_operators import prose
-from tradeweir.llm import packing, quality, toxicity, urls
+from tradeweir.llm import packing, quality, suffixes, toxicity, urls
 from tradeweir.llm.common import ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +28,29 @@ def shipped(spark):
     ship(spark)
 
 
+# ---- operator 5
+
+
+def test_repeats_in_texts_of_several_passes(spark):
+    draw = random.Random(3)
+    base = "".join(draw.choices("abcdefgh ", k=suffixes.PASS + 200_000))
+    edge = suffixes.PASS - suffixes.WINDOW  # where the first part of a long text ends
+    texts = [(1, base + base[edge - 300 : edge + 300] + "zz" + base[:100]), (2, base[-1000:] + "x" * 300), (3, "q" * 500)]
+    want, seen = {}, set()
+    for d, text in texts:
+        data, gone, end = text.encode(), bytearray(len(text)), 0
+        for i in range(len(data) - suffixes.WINDOW + 1):
+            if data[i : i + suffixes.WINDOW] in seen:
+                for k in range(max(i, end), i + suffixes.WINDOW):
+                    gone[k] = 1
+                end = i + suffixes.WINDOW
+            seen.add(data[i : i + suffixes.WINDOW])
+        kept = bytes(x for x, g in zip(data, gone, strict=True) if not g)
+        want[d] = (len(data), sum(gone), hashlib.sha256(kept).hexdigest())
+    got = suffixes.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in got.collect()} == want
+
+
 # ---- operator 6
 
 
