@@ -43,7 +43,7 @@ def text_parts(text: str, size: int = PART) -> Iterator[str]:
     yield text[at:]
 
 
-def _bytes_of() -> dict[str, int]:
+def bytes_of() -> dict[str, int]:
     """The printable character that stands for each byte in the vocabulary file, by the public rule."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -92,7 +92,7 @@ class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        byte = _bytes_of()
+        byte = bytes_of()
         special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
         ranks = {
             bytes(byte[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special
