@@ -13,7 +13,7 @@ from tradeweir.session import require_runtime, scratch_folder
 from tradeweir.sources.feed import bulk_feed, raw_feed
 from tradeweir.sources.kafka import file_batch
 
-# Parts of the larger feed, as an archive has many files; the caller's choice, whatever the size of the table.
+# Parts of the larger feed, as an archive has many files, unless its table is scanned in at least as many splits.
 FILES = 8
 FEEDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events": raw_feed,

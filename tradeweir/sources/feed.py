@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweir.sources.tables import scan_parquet
+from tradeweir.sources.tables import filled_splits, scan_parquet
 
 TOPIC = "market.trades.raw"
 
@@ -79,10 +79,12 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_trades(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
     """``lineitem`` as trade columns: the larger feed, with repeated business keys.
 
-    A table of one row group is one task's scan. ``parts`` deals its rows out first, as records that come from
-    many files or partitions would be.
+    A table of one row group is one task's scan. ``parts`` deals the rows of a table out first if fewer splits than that
+    hold rows, as records that come from many files or partitions would be. A larger table is scanned in splits of
+    bounded size and not shuffled.
     """
-    items = scan_parquet(spark, f"{sf_dir}/lineitem.parquet").select(
+    scan = scan_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    items = scan.select(
         F.expr("l_orderkey * 8 + l_linenumber").alias("record_no"),
         "l_orderkey",
         "l_linenumber",
@@ -93,7 +95,8 @@ def lineitem_trades(spark: SparkSession, sf_dir: str, parts: int | None = None)
         F.expr("l_partkey % 86400000").alias("ms_of_day"),
         F.expr("l_suppkey % 1000 - 100").alias("delay"),
     )
-    items = items if parts is None else items.repartition(parts)
+    if parts is not None and filled_splits(scan) < parts:
+        items = items.repartition(parts)
     return items.select(
         "record_no",
         F.lit("bulk").alias("exchange"),
