@@ -31,3 +31,15 @@ def test_only_a_table_of_few_splits_is_dealt_out(spark, tmp_path):
     finally:
         for name in sizes:
             spark.conf.unset(name)
+
+
+def test_label_counts_are_the_same_however_rows_are_dealt(spark, tmp_path):
+    whole = sorted(map(tuple, QUERIES["bulk_label_counts"](spark, SF_DIR).collect()))
+    many = _copy(spark, tmp_path / "many", tables.FILES)
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a split for each file
+    try:
+        counts = QUERIES["bulk_label_counts"](spark, many)
+        assert "RoundRobin" not in counts._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, counts.collect())) == whole
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
