@@ -706,7 +706,7 @@ def _published(spark, sf_dir) -> TableRoles:
     require_runtime(spark)
     roles = _roles(scratch_database(spark, "published"))
     for feed in ("events", "lineitem"):
-        commit_version(tables.silver(spark, sf_dir, feed), roles.silver)
+        commit_version(tables.silver_rows(spark, sf_dir, feed), roles.silver)
         publish.publish(spark, roles.silver, roles)
     return roles
 

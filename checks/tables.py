@@ -38,6 +38,13 @@ def bronze(spark: SparkSession, sf_dir: str, feed: str = "events") -> DataFrame:
     return spark.read.schema(BRONZE_15.schema).parquet(path)
 
 
+def silver_rows(spark: SparkSession, sf_dir: str, feed: str = "events") -> DataFrame:
+    """Silver rows of a feed for a query that stores them itself: classified on the way, unless they are stored already."""
+    if (spark.sparkContext.applicationId, "silver", sf_dir, feed, "exact") in _written:
+        return silver(spark, sf_dir, feed)
+    return build_silver(classify(records(spark, sf_dir, feed)))
+
+
 def silver(
     spark: SparkSession, sf_dir: str, feed: str = "events", mode: str = "exact"
 ) -> DataFrame:

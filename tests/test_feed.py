@@ -43,3 +43,12 @@ def test_label_counts_are_the_same_however_rows_are_dealt(spark, tmp_path):
         assert sorted(map(tuple, counts.collect())) == whole
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_publication_of_computed_rows_stores_neither_bronze_nor_silver_first(spark, tmp_path):
+    for table in ("events", "lineitem"):
+        spark.read.parquet(f"{SF_DIR}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
+    found = sorted(map(tuple, QUERIES["published_filter"](spark, str(tmp_path)).collect()))
+    assert not [key for key in tables._written if str(tmp_path) in key]
+    tables.silver(spark, str(tmp_path), "lineitem")  # stored, it is read
+    assert found == sorted(map(tuple, QUERIES["published_filter"](spark, str(tmp_path)).collect()))

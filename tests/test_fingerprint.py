@@ -9,7 +9,9 @@ import pytest
 from tests.rows import silver_rows
 from tradeweir.errors import CopyMismatchError, PipelineError
 from tradeweir.operators.fingerprint import (
+    _compared,
     canonical_rows,
+    compare_rows,
     except_all_diff,
     multiset_diff,
     require_same_rows,
@@ -131,3 +133,13 @@ def test_two_sided_trees_equal_single_ones(spark):
     assert require_same_rows(_many(spark, []), _many(spark, [])) == NOTHING
     with pytest.raises(CopyMismatchError, match=NOTHING):
         require_same_rows(left, _many(spark, []))
+
+
+def test_a_comparison_shuffles_rows_once(spark):
+    left, right = _many(spark, range(300)), _many(spark, [*range(300), 7, 7])
+    compared = _compared(left, right)
+    plan = compared._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange SinglePartition") == 1
+    found = compare_rows(left, right)
+    assert (found.left, found.right) == (_tree(left), _tree(right))
+    assert (found.left_rows, found.right_rows, found.null_columns) == (300, 302, ())

@@ -114,14 +114,25 @@ class RowComparison:
 
 
 def compare_rows(left: DataFrame, right: DataFrame) -> RowComparison:
-    """One pass over both datasets. Both trees grow from one grouping: equal rows travel as one pair."""
-    counts = _two_sided_counts(left, right)
-    leaves = {"left": "left_count", "right": "right_count"}
-    found = _tree(counts, leaves, LEAF_DIGITS, FAN_DIGITS, totals=True).first()
+    """One pass over both datasets."""
+    found = _compared(left, right).first()
     nulls = tuple(c for i, c in enumerate(SILVER_12.columns) if (found.null_mask or 0) >> i & 1)
     return RowComparison(found.left, found.right, found.left_rows or 0, found.right_rows or 0, nulls)
 
 
+def _compared(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Both trees and row counts, with one exchange of rows: a row's hash goes to the task of its branch of the tree.
+
+    That task counts the rows of the branch and digests its leaves and itself. There are 4096 branches, and SHA-256
+    spreads rows over them evenly. Copies of one row meet in one task, which counts them without keeping them.
+    """
+    rows = _two_sided_hashes(left, right)
+    branch = F.left(F.hex(F.substring("hash", 1, LEAF_DIGITS // 2)), F.lit(LEAF_DIGITS - FAN_DIGITS))
+    counts = _count_sides(rows.select("*", branch.alias("branch")).repartition("branch"), "branch")
+    leaves = {"left": "left_count", "right": "right_count"}
+    return _tree(counts, leaves, LEAF_DIGITS, FAN_DIGITS, totals=True, within=("branch",))
+
+
 def require_same_rows(left: DataFrame, right: DataFrame) -> str:
     """The common ``tree`` fingerprint of two datasets, or an error if they differ."""
     found = compare_rows(left, right)
@@ -132,13 +143,22 @@ def require_same_rows(left: DataFrame, right: DataFrame) -> str:
 
 def _two_sided_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     """Each binary row hash with its number of occurrences on either side, and which of its columns are null."""
+    return _count_sides(_two_sided_hashes(left, right))
+
+
+def _two_sided_hashes(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The binary hash of every row of both frames, its side, and which of its columns are null."""
     sides = []
     for frame, tag in ((left, True), (right, False)):
         SILVER_12.require_names(frame, "fingerprinted frame")
         mask = [F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(SILVER_12.columns)]
         row = frame.select(canonical_silver_json().alias("canonical_row"), sum(mask, F.lit(0)).alias("null_mask"))
         sides.append(row.select(_row_hash(), "null_mask", F.lit(tag).alias("from_left")))
-    return sides[0].union(sides[1]).groupBy("hash").agg(
+    return sides[0].union(sides[1])
+
+
+def _count_sides(hashes: DataFrame, *within: str) -> DataFrame:
+    return hashes.groupBy(*within, "hash").agg(
         F.count_if("from_left").alias("left_count"),
         F.count_if(~F.col("from_left")).alias("right_count"),
         F.max("null_mask").alias("null_mask"),
@@ -146,29 +166,39 @@ def _two_sided_counts(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def _tree(
-    counts: DataFrame, sides: dict[str, str], leaf_digits: int, fan_digits: int, *, totals: bool = False
+    counts: DataFrame,
+    sides: dict[str, str],
+    leaf_digits: int,
+    fan_digits: int,
+    *,
+    totals: bool = False,
+    within: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row with a digest per side; ``sides`` maps its name to its column of occurrences.
 
     A prefix without rows of a side has no part in that side's tree. Leaves collect 32 bytes and a number for each
     distinct row; their text, twice as long, is only written where it is digested. With ``totals`` the rows of each
-    side are summed, and the columns with nulls united, on the way up.
+    side are summed, and the columns with nulls united, on the way up. ``within`` names columns by which the rows
+    are already dealt out and which a prefix of any level determines, so that no level but the root is shuffled.
     """
     sums = [f"{side}_rows" for side in sides] if totals else []
     if leaf_digits < 1 or fan_digits < 1:
         raise PipelineError("leaf_digits and fan_digits must be at least 1")
     leaves = counts.select(
+        *within,
         F.lower(F.left(F.hex("hash"), F.lit(leaf_digits))).alias("prefix"),
-        *[F.when(F.col(n) > 0, F.struct("hash", F.col(n).alias("n"))).alias(side) for side, n in sides.items()],
+        F.struct("hash", *[F.col(n).alias(side) for side, n in sides.items()]).alias("pair"),
         *[F.col(sides[s.removesuffix("_rows")]).alias(s) for s in sums],
         *(["null_mask"] if totals else []),
     )
     added = [F.sum(s).alias(s) for s in sums] + ([F.bit_or("null_mask").alias("null_mask")] if totals else [])
-    digests = leaves.groupBy("prefix").agg(*[_leaf_digest(side).alias(side) for side in sides], *added)
+    collected = leaves.groupBy(*within, "prefix").agg(F.sort_array(F.collect_list("pair")).alias("pairs"), *added)
+    digests = _leaf_digests(collected, list(sides))
     digits = leaf_digits
     while True:
         digits = max(0, digits - fan_digits)
         level = digests.select(
+            *within,
             F.left("prefix", F.lit(digits)).alias("prefix"),
             *[F.concat("prefix", side).alias(side) for side in sides],
             *sums,
@@ -176,16 +206,27 @@ def _tree(
         )
         if digits == 0:
             break
-        digests = level.groupBy("prefix").agg(*[_ordered_digest(side).alias(side) for side in sides], *added)
+        digests = level.groupBy(*within, "prefix").agg(*[_ordered_digest(side).alias(side) for side in sides], *added)
     nothing = F.sha2(F.lit(""), 256)
     return level.agg(*[F.coalesce(_ordered_digest(side), nothing).alias(side) for side in sides], *added)
 
 
-def _leaf_digest(pair: str) -> Column:
-    """SHA-256 of a leaf's pairs in hash order, null without any."""
-    pairs = F.sort_array(F.collect_list(pair))
-    parts = F.transform(pairs, lambda p: length_prefixed(F.lower(F.hex(p["hash"])), p["n"]))
-    return F.when(F.size(pairs) > 0, F.sha2(F.array_join(parts, ""), 256))
+def _leaf_digests(leaves: DataFrame, sides: list[str]) -> DataFrame:
+    """SHA-256 of each leaf's pairs in hash order for every side, null without any. Equal sides are digested once."""
+
+    def digest(side: str) -> Column:
+        pairs = F.filter("pairs", lambda p: p[side] > 0)
+        parts = F.transform(pairs, lambda p: length_prefixed(F.lower(F.hex(p["hash"])), p[side]))
+        return F.when(F.size(pairs) > 0, F.sha2(F.array_join(parts, ""), 256))
+
+    def same(side: str, other: str) -> Column:
+        return F.forall("pairs", lambda p: p[side] == p[other])
+
+    first, *others = sides
+    digests = leaves.withColumn(first, digest(first))
+    for side in others:
+        digests = digests.withColumn(side, F.when(same(first, side), F.col(first)).otherwise(digest(side)))
+    return digests.drop("pairs")
 
 
 def _ordered_digest(part: str) -> Column:
