@@ -1,5 +1,8 @@
 from checks import tables
-from checks.queries import QUERIES
+from checks.queries import QUERIES, _backwards
+from tradeweir.contracts import SERVING_SORT_KEY
+from tradeweir.operators.order import unsorted_files
+from tradeweir.plans.publish import serving_layout
 from tradeweir.sources.tables import filled_splits, scan_parquet
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -52,3 +55,17 @@ def test_a_publication_of_computed_rows_stores_neither_bronze_nor_silver_first(s
     assert not [key for key in tables._written if str(tmp_path) in key]
     tables.silver(spark, str(tmp_path), "lineitem")  # stored, it is read
     assert found == sorted(map(tuple, QUERIES["published_filter"](spark, str(tmp_path)).collect()))
+
+
+def test_the_serving_layout_is_rewritten_backwards_without_a_shuffle(spark, tmp_path):
+    laid_out = serving_layout(tables.silver(spark, SF_DIR, "lineitem"))
+    laid_out.write.partitionBy("event_month").parquet(f"{tmp_path}/layout")
+    stored = spark.read.schema(laid_out.schema).parquet(f"{tmp_path}/layout")
+    backwards = _backwards(stored)
+    assert "Exchange" not in backwards._jdf.queryExecution().executedPlan().toString()
+    backwards.write.partitionBy("event_month").parquet(f"{tmp_path}/backwards")
+    rewritten = spark.read.schema(laid_out.schema).parquet(f"{tmp_path}/backwards")
+    assert rewritten.exceptAll(stored).count() == 0 and rewritten.count() == stored.count()
+    files = rewritten.groupBy("_metadata.file_path").count()
+    assert unsorted_files(rewritten, SERVING_SORT_KEY).count() == files.where("count > 1").count() > 0
+    assert unsorted_files(stored, SERVING_SORT_KEY).count() == 0
