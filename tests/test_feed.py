@@ -3,6 +3,7 @@ from checks.queries import QUERIES, _backwards
 from tradeweir.contracts import SERVING_SORT_KEY
 from tradeweir.operators.order import unsorted_files
 from tradeweir.plans.publish import serving_layout
+from tradeweir.sources import feed
 from tradeweir.sources.tables import filled_splits, scan_parquet
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,6 +49,15 @@ def test_label_counts_are_the_same_however_rows_are_dealt(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_a_table_that_is_dealt_out_gets_more_parts_as_it_grows(spark, monkeypatch):
+    rows = scan_parquet(spark, f"{SF_DIR}/lineitem.parquet").count()
+    whole = sorted(map(tuple, QUERIES["bulk_label_counts"](spark, SF_DIR).collect()))
+    for part_rows, parts in ((rows, tables.FILES), (rows // 20, 20 + (rows % 20 > 0))):
+        monkeypatch.setattr(feed, "PART_ROWS", part_rows, raising=False)
+        assert tables.records(spark, SF_DIR, "lineitem").rdd.getNumPartitions() == parts
+        assert sorted(map(tuple, QUERIES["bulk_label_counts"](spark, SF_DIR).collect())) == whole
+
+
 def test_a_publication_of_computed_rows_stores_neither_bronze_nor_silver_first(spark, tmp_path):
     for table in ("events", "lineitem"):
         spark.read.parquet(f"{SF_DIR}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")

@@ -6,6 +6,8 @@ a feed grows with its table and can be rebuilt in plain SQL.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from tradeweir.sources.tables import filled_splits, scan_parquet
 
 TOPIC = "market.trades.raw"
 
+# Rows of one part of a table that is dealt out, so that parts become more and not larger as the table grows.
+PART_ROWS = 1 << 20
+
 # Records whose number is divisible by one of these primes are broken in one way;
 # the first match wins.
 BREAKAGE = {
@@ -80,8 +85,8 @@ def lineitem_trades(spark: SparkSession, sf_dir: str, parts: int | None = None)
     """``lineitem`` as trade columns: the larger feed, with repeated business keys.
 
     A table of one row group is one task's scan. ``parts`` deals the rows of a table out first if fewer splits than that
-    hold rows, as records that come from many files or partitions would be. A larger table is scanned in splits of
-    bounded size and not shuffled.
+    hold rows, as records that come from many files or partitions would be: over ``parts`` tasks, or more if those would
+    get over ``PART_ROWS`` rows each. A table of more splits is scanned in splits of bounded size and not shuffled.
     """
     scan = scan_parquet(spark, f"{sf_dir}/lineitem.parquet")
     items = scan.select(
@@ -96,7 +101,7 @@ def lineitem_trades(spark: SparkSession, sf_dir: str, parts: int | None = None)
         F.expr("l_suppkey % 1000 - 100").alias("delay"),
     )
     if parts is not None and filled_splits(scan) < parts:
-        items = items.repartition(parts)
+        items = items.repartition(max(parts, math.ceil(scan.count() / PART_ROWS)))
     return items.select(
         "record_no",
         F.lit("bulk").alias("exchange"),
