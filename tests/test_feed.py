@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from checks import tables
 from checks.queries import QUERIES, _backwards
 from tradeweir.contracts import SERVING_SORT_KEY
@@ -58,6 +60,16 @@ def test_a_table_that_is_dealt_out_gets_more_parts_as_it_grows(spark, monkeypatc
         assert sorted(map(tuple, QUERIES["bulk_label_counts"](spark, SF_DIR).collect())) == whole
 
 
+def test_rows_are_dealt_out_evenly_without_a_sort_even_if_all_are_equal(spark, tmp_path):
+    one = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").limit(1)
+    spark.createDataFrame(one.collect() * 1000, one.schema).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    dealt = feed.lineitem_trades(spark, str(tmp_path), tables.FILES)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "RoundRobin" not in plan and "Sort" not in plan
+    counts = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert sorted(r["count"] for r in counts) == [1000 // tables.FILES] * tables.FILES
+
+
 def test_a_publication_of_computed_rows_stores_neither_bronze_nor_silver_first(spark, tmp_path):
     for table in ("events", "lineitem"):
         spark.read.parquet(f"{SF_DIR}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")

@@ -1,3 +1,6 @@
+from datetime import datetime
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +190,35 @@ def test_serving_contract(spark, roles):
         publishing.check_serving(spark, roles)
 
 
+def test_the_layout_shuffles_packed_rows_and_loses_nothing(spark, roles):
+    odd = [
+        {"price": Decimal("12345678901234567890.000000000000000001"), "quantity": Decimal("0.000000001")},
+        {"price": Decimal("1.00000001"), "quantity": Decimal("1.000000005"), "notional": Decimal("-9999999999.99999999")},
+        {"price": Decimal("9999999999.999999999"), "quantity": Decimal("10000000000"), "notional": Decimal("0")},
+        {"price": None, "quantity": None, "notional": None},
+        {"ingested_at": None},
+        {"latency_ms": None},
+        {"ingested_at": None, "latency_ms": None},
+        *[{"latency_ms": n} for n in (2**63 - 1, -(2**63), 2**63 // 1000, 0, -7)],
+    ]
+    rows = silver_rows(spark, {}, {}, *odd)
+    moved = publishing._unpacked(publishing._packed(rows))
+    assert moved.schema.simpleString() == rows.schema.simpleString()
+    for found in (moved, publishing.serving_layout(rows).drop("event_month")):
+        assert found.exceptAll(rows).isEmpty() and found.count() == rows.count() == len(odd) + 2
+    usual = silver_rows(spark, {"latency_ms": 5, "event_time": datetime(2026, 1, 1), "ingested_at": datetime(2026, 1, 1, microsecond=5000)})
+    travels = publishing._packed(usual).first()
+    assert travels.ingested_at is None and (travels._price, travels._quantity, travels._notional) == (None, None, None)
+    plan = publishing.serving_layout(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(18,8)" in plan[plan.index("RebalancePartitions"):]
+
+
+def test_versions_are_written_with_zstd(spark, roles):
+    version = commit_version(_numbered(spark, 1, 2), roles.silver)
+    files = [r.file_path for r in listed_files(spark, version_table(roles.silver, version)).collect()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_layout_is_sorted_inside_months(spark, tmp_path):
     rows = silver_rows(
         spark, *[{"trade_id": str(n % 7), "symbol": f"S{n % 3}", "kafka_offset": n} for n in range(60)]

@@ -128,7 +128,8 @@ def _compared(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     rows = _two_sided_hashes(left, right)
     branch = F.left(F.hex(F.substring("hash", 1, LEAF_DIGITS // 2)), F.lit(LEAF_DIGITS - FAN_DIGITS))
-    counts = _count_sides(rows.select("*", branch.alias("branch")).repartition("branch"), "branch")
+    # Dealt out by the expression: its text is not shuffled but read off the hash again behind the exchange.
+    counts = _count_sides(rows.repartition(branch).select("*", branch.alias("branch")), "branch")
     leaves = {"left": "left_count", "right": "right_count"}
     return _tree(counts, leaves, LEAF_DIGITS, FAN_DIGITS, totals=True, within=("branch",))
 

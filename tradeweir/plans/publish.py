@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradeweir.contracts import (
+    MONEY,
     SERVING_PARTITION,
     SERVING_SORT_KEY,
     SILVER_12,
@@ -41,6 +42,10 @@ from tradeweir.sources.snapshots import (
     write_version,
 )
 
+# The Silver columns of type MONEY, and the decimal of 8 bytes in which they are shuffled where it is exact.
+AMOUNTS = ("price", "quantity", "notional")
+TRAVEL = "decimal(18,8)"
+
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -80,10 +85,39 @@ def serving_layout(silver: DataFrame) -> DataFrame:
     month is split over many, whatever key makes it hot.
     """
     by_month = with_event_month(SILVER_12.require(silver, "served rows"))
-    spread = by_month.hint("rebalance", SERVING_PARTITION)
+    spread = _unpacked(_packed(by_month).hint("rebalance", SERVING_PARTITION))
     return spread.sortWithinPartitions(SERVING_PARTITION, *SERVING_SORT_KEY)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """Rows as they are shuffled, a quarter smaller: nothing is lost, ``_unpacked`` gives back every value.
+
+    An amount takes 8 bytes where it is exact in ``TRAVEL``, else a column of its own keeps it as it is; the second time is left
+    out where the latency gives it.
+    """
+    columns = {c: F.col(c) for c in rows.columns}
+    for name in AMOUNTS:
+        narrow = F.col(name).try_cast(TRAVEL)
+        columns[name] = narrow
+        columns[f"_{name}"] = F.when(~F.coalesce(narrow.cast(MONEY) == F.col(name), F.lit(False)), F.col(name))
+    columns["ingested_at"] = F.when(~F.coalesce(_arrival() == F.col("ingested_at"), F.lit(False)), F.col("ingested_at"))
+    columns["_arrived"] = F.col("ingested_at").isNotNull()
+    return rows.select(*[value.alias(name) for name, value in columns.items()])
+
+
+def _unpacked(packed: DataFrame) -> DataFrame:
+    columns = {c: F.col(c) for c in packed.columns if not c.startswith("_")}
+    for name in AMOUNTS:
+        columns[name] = F.coalesce(f"_{name}", F.col(name).cast(MONEY))
+    columns["ingested_at"] = F.coalesce("ingested_at", F.when(F.col("_arrived"), _arrival()))
+    return packed.select(*[value.alias(name) for name, value in columns.items()])
+
+
+def _arrival() -> Column:
+    """The second time of a row by its first time and latency; null where it cannot be told."""
+    return F.expr("timestamp_micros(try_add(unix_micros(event_time), try_multiply(latency_ms, 1000L)))")
+
+
 def ensure_serving(spark: SparkSession, roles: TableRoles, fmt: str = "parquet") -> None:
     """Create the two roles, empty, if they do not exist, then check both (P5)."""
     for name in (roles.serving, roles.staging):

@@ -21,6 +21,9 @@ from tradeweir.errors import SnapshotError
 
 HISTORY_DDL = "snapshot_id BIGINT, made_current_at TIMESTAMP, is_current_ancestor BOOLEAN"
 VERSION_PROPERTY = "tradeweir.version"
+# Files of a version are written once and kept: a quarter to a third smaller than with Parquet's usual Snappy. Row groups
+# are half as large, as they would hold more rows; a task of a later scan gets whole row groups.
+WRITE_OPTIONS = {"parquet": {"compression": "zstd", "parquet.block.size": str(64 << 20)}}
 
 
 def version_table(table: str, snapshot_id: int) -> str:
@@ -70,9 +73,8 @@ def write_version(
     Ids are microseconds of the clock; a second writer with the same id fails on the table name.
     """
     snapshot_id = time.time_ns() // 1000
-    frame.write.format(fmt).partitionBy(*partition_by).mode("errorifexists").saveAsTable(
-        version_table(check_identifier(table), snapshot_id)
-    )
+    writer = frame.write.format(fmt).options(**WRITE_OPTIONS.get(fmt, {})).partitionBy(*partition_by)
+    writer.mode("errorifexists").saveAsTable(version_table(check_identifier(table), snapshot_id))
     return snapshot_id
 
 
