@@ -18,7 +18,7 @@ from tradeweir.errors import (
 from tradeweir.operators.fingerprint import tree_fingerprint
 from tradeweir.plans import publish as publishing
 from tradeweir.operators.order import unsorted_files
-from tradeweir.plans.compact import compact, compaction_plan
+from tradeweir.plans.compact import _spread, compact, compaction_plan
 from tradeweir.plans.inspect import inspect_table, inspection_sql, listed_files, partition_note
 from tradeweir.plans.rebuild import rebuild_silver
 from tradeweir.sources.snapshots import (
@@ -307,6 +307,51 @@ def test_compaction_by_size_keeps_folders_and_order(spark, roles):
         compaction_plan(spark, version_table(roles.silver, second), 0)
 
 
+@pytest.mark.parametrize("by", [["symbol"], []])
+def test_compaction_ends_where_nothing_is_left_to_do(spark, roles, by):
+    """Each text comes ten times, so that sorted rows take much less space than the files before and need fewer files."""
+    texts = spark.range(10_000).select(F.md5((F.col("id") % 1000).cast("string")).alias("trade_id"))
+    rows = silver_rows(spark, {"symbol": "S0"}, {"symbol": "S1"}).drop("trade_id").crossJoin(texts).select(*SILVER_12.columns)
+    first = commit_version(rows.repartition(6), roles.silver, partition_by=by)
+    before = compaction_plan(spark, version_table(roles.silver, first)).collect()
+    target = max(r.bytes for r in before) // 3
+    second = compact(spark, roles.silver, target_bytes=target, sort_by=["trade_id"])
+    assert compact(spark, roles.silver, target_bytes=target, sort_by=["trade_id"]) == second != first
+    after = compaction_plan(spark, version_table(roles.silver, second), target).collect()
+    assert {r.folder for r in after} == {r.folder for r in before}
+    assert all(r.bytes <= target and (r.files, r.target_files, r.small) == (1, 1, False) for r in after)
+    assert unsorted_files(spark.table(version_table(roles.silver, second)), [*by, "trade_id"]).isEmpty()
+    assert history(spark, roles.silver).count() == 2
+    kept = {t.name for t in spark.catalog.listTables(roles.silver.rpartition(".")[0]) if "__v" in t.name}
+    assert kept == {version_table("silver", v) for v in (first, second)}
+    assert version_behind(spark, roles.silver) == version_table(roles.silver, second)
+    written = spark.table(roles.silver).select(*SILVER_12.columns)
+    assert written.exceptAll(rows).isEmpty() and written.count() == rows.count()
+
+
+def test_a_folder_of_many_files_gets_each_in_a_task_of_its_own(spark, roles):
+    rows = silver_rows(spark, *[{"symbol": f"S{n % 5}", "trade_id": f"{n:04d}"} for n in range(2000)])
+    first = commit_version(rows.repartition(12), roles.silver, partition_by=["symbol"])
+    stored = version_table(roles.silver, first)
+    target = min(r.bytes for r in compaction_plan(spark, stored).collect()) // 3
+    wanted = {r.folder: r.target_files for r in compaction_plan(spark, stored, target).collect()}
+    spread = _spread(spark, stored, target, sum(wanted.values()), ["symbol"], ["trade_id"])
+    tasks = spread.select(F.spark_partition_id().alias("task"), "symbol").distinct().collect()
+    assert len(tasks) == len({r.task for r in tasks}) == sum(wanted.values()) > 10
+    assert {f: sum(f == f"symbol={r.symbol}/" for r in tasks) for f in wanted} == wanted
+
+
+def test_compaction_ends_if_rows_of_files_are_bounded(spark, roles):
+    commit_version(_numbered(spark, *range(30)).repartition(15), roles.silver)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        compact(spark, roles.silver)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert inspect_table(spark, roles.silver)["files_count"].first().row_count == 3
+    assert _ids(spark.table(roles.silver)) == sorted(str(n) for n in range(30))
+
+
 def test_unsorted_files_are_found(spark, tmp_path):
     path = str(tmp_path / "order")
     key = ["symbol", "kafka_offset"]

@@ -53,16 +53,23 @@ def commit_version(
         writer.createOrReplace()
         return current_snapshot(spark, table, fmt)
     snapshot_id = write_version(frame, table, fmt, partition_by=partition_by)
+    make_current(spark, table, snapshot_id, frame.columns, fmt)
+    return snapshot_id
+
+
+def make_current(
+    spark: SparkSession, table: str, snapshot_id: int, columns: Sequence[str], fmt: str = "parquet"
+) -> None:
+    """Enter a written version into the history of ``table`` and show it."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table}__history ({HISTORY_DDL}) USING {fmt}"
+        f"CREATE TABLE IF NOT EXISTS {check_identifier(table)}__history ({HISTORY_DDL}) USING {fmt}"
     )
     spark.range(1).select(
         F.lit(snapshot_id).alias("snapshot_id"),
         F.current_timestamp().alias("made_current_at"),
         F.lit(True).alias("is_current_ancestor"),
     ).write.insertInto(f"{table}__history")
-    point_view(spark, table, version_table(table, snapshot_id), frame.columns)
-    return snapshot_id
+    point_view(spark, table, version_table(table, snapshot_id), columns)
 
 
 def write_version(
